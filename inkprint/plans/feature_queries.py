@@ -290,11 +290,11 @@ def padding_stats(spark, sf):
 
 _SCORED_WINDOWS = [
     ("toks", f"SELECT row_id, label, split, regexp_extract_all(lower(code), '[{WORD}]+|[^{WORD}{WS}]') AS toks FROM split_programs WHERE split = 'test'"),
-    ("wins", f"""SELECT row_id, chunk, start_at, end_at, list_slice(toks, start_at + 1, end_at) AS window FROM (
+    ("wins", f"""SELECT row_id, chunk, start_at, end_at, list_slice(toks, start_at + 1, end_at) AS kept FROM (
         SELECT *, CAST(i + 1 AS INTEGER) AS chunk, CAST(i * {_STEP} AS INTEGER) AS start_at, CAST(least(i * {_STEP} + {_CAP}, len(toks)) AS INTEGER) AS end_at FROM (
           SELECT *, unnest(generate_series(0, CAST(greatest(1, ceil((len(toks) - {K.WINDOW_OVERLAP}) / {_STEP}.0)) AS BIGINT) - 1)) AS i FROM toks))"""),
     ("win_raw", """SELECT row_id, chunk, term, tf * idf AS w FROM (SELECT row_id, chunk, term, count(*) AS tf FROM (
-        SELECT row_id, chunk, unnest(window) AS term FROM wins) GROUP BY ALL) JOIN w_vocab USING (term)"""),
+        SELECT row_id, chunk, unnest(kept) AS term FROM wins) GROUP BY ALL) JOIN w_vocab USING (term)"""),
     ("win_w", """SELECT r.row_id, r.chunk, term, w / norm AS weight FROM win_raw r
         JOIN (SELECT row_id, chunk, sqrt(sum(w * w)) AS norm FROM win_raw GROUP BY ALL) n ON r.row_id = n.row_id AND r.chunk = n.chunk"""),
     ("win_s", """SELECT p.row_id, p.chunk, p.start_at, p.end_at, l.label, l.prior + coalesce(s.s, 0) AS score FROM wins p CROSS JOIN nb_prior l LEFT JOIN (
@@ -313,7 +313,7 @@ def _scored_windows(spark, sf):
     tokens = test.repartition("row_id").select("row_id", tx.pieces(F.lower("code")).alias("tokens"))
     w = windows.chunk_windows(tokens, ["row_id"], prefix=_PREFIX, special=_SPECIAL)
     f = model.transform(w, text=None, tokens="window", spread=False, carry=["chunk", "start", "end", "model_tokens"])
-    return f.withColumn("scores", linear.softmax(nb.scores(spark)))
+    return linear.predict(f, nb).withColumn("scores", linear.softmax(F.col("scores")))
 
 
 @query("chunk_details", with_parts(["word_tf"], """

@@ -138,11 +138,15 @@ PARTS: dict[str, tuple[list[str], str]] = {
       FROM analyses"""),
     "collapsed": (["split_programs"], f"""
       SELECT row_id, label, split, regexp_replace(code, '[{WS}]{{2,}}', ' ', 'g') AS t FROM split_programs"""),
-    "char_tf": (["collapsed"], """
+    # Overlapping 68-character pieces first: substr on a long text walks it from the start.
+    "char_pieces": (["collapsed"], """
+      SELECT row_id, label, split, substr(t, CAST(o + 1 AS BIGINT), 68) AS piece FROM (
+        SELECT *, unnest(generate_series(0, length(t) - 1, 64)) AS o FROM collapsed)"""),
+    "char_tf": (["char_pieces"], """
       SELECT row_id, label, split, n, term, count(*) AS tf FROM (
-        SELECT row_id, label, split, n, substr(t, CAST(i AS BIGINT), n) AS term FROM (
-          SELECT row_id, label, split, t, n, unnest(generate_series(1, length(t) - n + 1)) AS i
-          FROM collapsed, (VALUES (3), (4), (5)) s(n)))
+        SELECT row_id, label, split, n, substr(piece, CAST(i AS BIGINT), n) AS term FROM (
+          SELECT *, unnest(generate_series(1, least(64, length(piece) - n + 1))) AS i
+          FROM char_pieces, (VALUES (3), (4), (5)) s(n)))
       GROUP BY ALL"""),
     "word_tf": (["split_programs"], f"""
       SELECT row_id, label, split, term, count(*) AS tf FROM (

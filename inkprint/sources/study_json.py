@@ -21,7 +21,7 @@ _GENERATION = (
     "requested_model STRING, returned_model STRING, provider STRING, response_id STRING, "
     "finish_reason STRING, error STRING"
 )
-STUDY_SCHEMA = T.StructType.fromDDL(
+STUDY_SCHEMA = (
     "id STRING, status STRING, created_at STRING, updated_at STRING, models ARRAY<STRING>, "
     "prompts ARRAY<STRUCT<task STRING, prompt STRING>>, temperature DOUBLE, max_tokens INT, "
     "repetitions INT, analysis_modes ARRAY<STRING>, samples ARRAY<STRUCT<"
