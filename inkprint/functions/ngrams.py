@@ -32,13 +32,11 @@ def _row_slices(lengths: list[int]) -> Iterator[slice]:
         yield slice(begin, len(lengths))
 
 
-def _group(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sort order of ``keys`` and the offset at which each distinct key begins."""
-    order = np.argsort(keys)
-    ordered = keys[order]
+def _boundaries(ordered: np.ndarray) -> np.ndarray:
+    """Offsets at which a new value begins in a sorted array."""
     new = np.ones(len(ordered), dtype=bool)
     new[1:] = ordered[1:] != ordered[:-1]
-    return order, np.flatnonzero(new)
+    return np.flatnonzero(new)
 
 
 class PairCounts:
@@ -51,37 +49,45 @@ class PairCounts:
         self.terms = terms                # distinct terms as an Arrow string array
 
 
-def count_pairs(texts: list[str], size: int) -> PairCounts | None:
+def _spell(grams: np.ndarray, alphabet: np.ndarray, ranked: list) -> pa.Array:
+    """n-gram integers back to strings, last letter first."""
+    letters = []
+    for known in reversed(ranked):
+        grams, last = np.divmod(grams, len(alphabet))
+        letters.append(last)
+        if known is not None:
+            grams = known[grams]
+    points = alphabet[np.stack([grams, *reversed(letters)], axis=1)]
+    return pa.array(np.ascontiguousarray(points).view(f"<U{points.shape[1]}").ravel())
+
+
+def count_pairs(texts: list[str], sizes: tuple[int, ...]) -> Iterator[PairCounts]:
+    """Counts of each size over the texts; n-grams never cross from one text to the next."""
     points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
-    if len(points) < size:
-        return None
     owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    starts = np.flatnonzero(owner[: len(points) - size + 1] == owner[size - 1:])
-    if not len(starts):
-        return None
-
-    # Each n-gram becomes one integer; ranks replace it before it could overflow.
     alphabet, letters = np.unique(points, return_inverse=True)
-    base, limit = len(alphabet), len(alphabet)
-    gram = letters[starts].astype(np.int64)
-    for offset in range(1, size):
-        if limit * base * len(texts) >= 2 ** 62:
-            known, gram = np.unique(gram, return_inverse=True)
-            limit = len(known)
-        gram = gram * base + letters[starts + offset]
-        limit *= base
-
-    order, first = _group(owner[starts] * limit + gram)
-    counts = np.diff(np.append(first, len(order)))
-    sample = starts[order[first]]
-    rows, gram = owner[sample], gram[order[first]]
-
-    order, first = _group(gram)
-    term_of_pair = np.empty(len(gram), dtype=np.int64)
-    term_of_pair[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
-    letters_of = points[sample[order[first]][:, None] + np.arange(size)]
-    terms = pa.array(np.ascontiguousarray(letters_of).view(f"<U{size}").ravel())
-    return PairCounts(rows, counts, term_of_pair, terms)
+    base = len(alphabet)
+    for size in sizes:
+        starts = np.flatnonzero(owner[: max(0, len(points) - size + 1)] == owner[size - 1:])
+        if not len(starts):
+            continue
+        # Each n-gram becomes one integer; ranks replace it before it could overflow.
+        gram, limit, ranked = letters[starts], base, []
+        for offset in range(1, size):
+            known = None
+            if limit * base * len(texts) >= 2 ** 62:
+                known, gram = np.unique(gram, return_inverse=True)
+                limit = len(known)
+            ranked.append(known)
+            gram = gram * base + letters[starts + offset]
+            limit *= base
+
+        key = np.sort(owner[starts] * limit + gram)
+        first = _boundaries(key)
+        counts = np.diff(np.append(first, len(key)))
+        rows, gram = np.divmod(key[first], limit)
+        distinct, term_of_pair = np.unique(gram, return_inverse=True)
+        yield PairCounts(rows, counts, term_of_pair, _spell(distinct, alphabet, ranked))
 
 
 def corpus_counts(sizes: tuple[int, ...]):
@@ -91,10 +97,7 @@ def corpus_counts(sizes: tuple[int, ...]):
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for part in _row_slices([len(t) for t in texts]):
-                for size in sizes:
-                    pairs = count_pairs(texts[part], size)
-                    if pairs is None:
-                        continue
+                for pairs in count_pairs(texts[part], sizes):
                     n = len(pairs.terms)
                     cf = np.bincount(pairs.term_of_pair, weights=pairs.counts, minlength=n)
                     df = np.bincount(pairs.term_of_pair, minlength=n)
@@ -114,10 +117,7 @@ def row_counts(sizes: tuple[int, ...]):
             texts = batch.column(1).to_pylist()
             for part in _row_slices([len(t) for t in texts]):
                 ids = batch.column(0).slice(part.start, part.stop - part.start)
-                for size in sizes:
-                    pairs = count_pairs(texts[part], size)
-                    if pairs is None:
-                        continue
+                for pairs in count_pairs(texts[part], sizes):
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(pa.array(pairs.rows)), pairs.terms.take(pa.array(pairs.term_of_pair)),
                          pa.array(pairs.counts.astype(np.int64))],
@@ -160,10 +160,7 @@ def weigh_chars(weighting, sizes: tuple[int, ...]):
             for part in _row_slices([len(t) for t in texts]):
                 n_rows = part.stop - part.start
                 found = [(np.zeros(0, np.int64),) * 3]
-                for size in sizes:
-                    pairs = count_pairs(texts[part], size)
-                    if pairs is None:
-                        continue
+                for pairs in count_pairs(texts[part], sizes):
                     idx = pc.fill_null(pc.index_in(pairs.terms, value_set=known), -1).to_numpy()
                     idx = idx[pairs.term_of_pair]
                     keep = idx >= 0
@@ -188,10 +185,11 @@ def weigh_tokens(weighting):
             idx = pc.fill_null(pc.index_in(pc.list_flatten(tokens), value_set=known), -1).to_numpy()
             keep = idx >= 0
             rows, idx = rows[keep], idx[keep].astype(np.int64)
-            order, first = _group(rows * len(known) + idx)
-            counts = np.diff(np.append(first, len(order)))
-            at = order[first]
-            lists = _unit_lists(rows[at], idx[at], counts, batch.num_rows, idf, sublinear_tf)
+            key = np.sort(rows * len(known) + idx)
+            first = _boundaries(key)
+            counts = np.diff(np.append(first, len(key)))
+            rows, idx = np.divmod(key[first], len(known))
+            lists = _unit_lists(rows, idx, counts, batch.num_rows, idf, sublinear_tf)
             yield pa.RecordBatch.from_arrays(
                 batch.columns[1:] + lists, names=batch.schema.names[1:] + ["indices", "values"]
             )

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from inkprint import constants as K
 from inkprint.functions.hashing import hash32, seeded
 
-BUCKET_BITS = 12  # 4,096 buckets: the boundary bucket holds about 1/4,096 of the rows
+BUCKET_BITS = 16  # 65,536 buckets: the boundary bucket holds about 1/65,536 of the rows
 
 
 def hash_cuts(keys: DataFrame, order: Column, tie: Column,
@@ -31,7 +31,7 @@ def hash_cuts(keys: DataFrame, order: Column, tie: Column,
     keyed = keys.select(*by, order.alias("h"), tie.alias("t")).withColumn(
         "bucket", F.shiftright("h", 32 - BUCKET_BITS)
     )
-    # At most 4,096 rows per group from here on.
+    # At most 65,536 rows per group from here on.
     counts = keyed.groupBy(*by, "bucket").agg(F.count("*").alias("n"))
     running = Window.partitionBy(*by).orderBy("bucket")
     whole = Window.partitionBy(*by)

@@ -205,12 +205,13 @@ def robustness_eval(spark, sf):
 def _stored(spark, sf):
     model = _char_model(spark, sf)
     f = model.transform(fx.split_programs(spark, sf), carry=["label", "split"])
-    return ft.as_vectors(f, model.size, partition_by=["split"])
+    return ft.as_vectors(f, model.size, partition_by=["split"]), model.size
 
 
 def _one_model(name):
     def run(spark, sf):
-        return jobs.evaluate(_stored(spark, sf), fx.LANGS, [name], "limited_features")
+        stored, size = _stored(spark, sf)
+        return jobs.evaluate(stored, fx.LANGS, [name], size, "limited_features")
     return run
 
 
@@ -221,7 +222,8 @@ query("random_forest")(_one_model("Random Forest"))
 
 @query("model_zoo")
 def model_zoo(spark, sf):
-    return jobs.evaluate(_stored(spark, sf), fx.LANGS, models.MODEL_NAMES, "limited_features")
+    stored, size = _stored(spark, sf)
+    return jobs.evaluate(stored, fx.LANGS, models.MODEL_NAMES, size, "limited_features")
 
 
 @query("ablation_run")
@@ -233,10 +235,11 @@ def ablation_run(spark, sf):
 @query("model_reload")
 def model_reload(spark, sf):
     """Predictions of a saved model read back; the second call must not fit again."""
-    stored, path = _stored(spark, sf), fresh_path(spark, "model")
+    (stored, size), path = _stored(spark, sf), fresh_path(spark, "model")
     train, test = stored.where("split = 'train'"), stored.where("split = 'test'")
-    models.load_or_fit(path, train, fx.LANGS, "Naive Bayes")
-    model, reused = models.load_or_fit(path, train, fx.LANGS, "Naive Bayes")
+    n_rows = train.count()
+    models.load_or_fit(path, train, fx.LANGS, "Naive Bayes", n_rows, size)
+    model, reused = models.load_or_fit(path, train, fx.LANGS, "Naive Bayes", n_rows, size)
     return models.predict(model, test, fx.LANGS).withColumn("reused", F.lit(reused))
 
 
