@@ -57,8 +57,9 @@ def _spell(grams: np.ndarray, alphabet: np.ndarray, ranked: list) -> pa.Array:
         letters.append(last)
         if known is not None:
             grams = known[grams]
-    points = alphabet[np.stack([grams, *reversed(letters)], axis=1)]
-    return pa.array(np.ascontiguousarray(points).view(f"<U{points.shape[1]}").ravel())
+    size = len(ranked) + 1
+    joined = alphabet[np.stack([grams, *reversed(letters)], axis=1)].tobytes().decode("utf-32-le")
+    return pa.array([joined[i:i + size] for i in range(0, len(joined), size)], pa.string())
 
 
 def count_pairs(texts: list[str], sizes: tuple[int, ...]) -> Iterator[PairCounts]:
