@@ -27,9 +27,17 @@ MAX_VOCABULARY = 1_000_000
 
 
 def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread texts by key before the expansion: few large input files or a run
-    of long texts would otherwise leave most cores idle."""
-    return df.repartition(key)
+    """Spread texts over the cores when the input is too small to do so by itself.
+
+    An input of many file splits is already spread, and shuffling its texts would
+    only cost; a few small files would leave most cores idle.
+    """
+    spark = df.sparkSession
+    split = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    fills_cores = size >= split * spark.sparkContext.defaultParallelism
+    return df if fills_cores else df.repartition(key)
 
 
 def char_ngrams(df: DataFrame, text: str = "code", key: str = "row_id",
@@ -44,10 +52,10 @@ def char_ngrams(df: DataFrame, text: str = "code", key: str = "row_id",
 
 def word_tokens(df: DataFrame, text: str = "code", key: str = "row_id") -> DataFrame:
     """(row_id, term, tf) of lower-cased words."""
-    tokens = _spread(df.select(F.col(key).alias("row_id"), F.col(text).alias("text")), "row_id").select(
-        "row_id", F.explode(tx.words(F.col("text"))).alias("term")
-    )
-    # Already spread by row_id, so this grouping needs no further shuffle.
+    source = df.select(F.col(key).alias("row_id"), F.col(text).alias("text")).repartition("row_id")
+    tokens = source.select("row_id", F.explode(tx.words(F.col("text"))).alias("term"))
+    # The texts are shuffled by row_id so that their tokens, several times the
+    # size, need not be: this grouping finds its rows in place.
     return tokens.groupBy("row_id", "term").agg(F.count("*").alias("tf"))
 
 
@@ -61,16 +69,25 @@ def smooth_idf(n_rows: Column, df: Column) -> Column:
 
 def corpus_frequency(df: DataFrame, analyzer: str, text: str = "code", key: str = "row_id",
                      sizes: tuple[int, ...] = K.CHAR_SIZES) -> DataFrame:
-    """(term, cf, df): occurrences and number of texts, over all terms."""
+    """(term, cf, df): occurrences and number of texts, over all terms.
+
+    The only shuffle that grows is that of terms already summed per task.
+    """
+    source = _spread(df.select(F.col(key).alias("row_id"), F.col(text).alias("text")), "row_id")
     if analyzer == "char":
-        source = df.select(F.col(key).alias("row_id"), tx.collapse_spaces(F.col(text)).alias("text"))
-        partial = _spread(source, "row_id").select("text").mapInArrow(
+        partial = source.select(tx.collapse_spaces(F.col("text"))).mapInArrow(
             ngrams.corpus_counts(sizes), "term string, cf bigint, df bigint"
         )
     elif analyzer == "word":
-        partial = word_tokens(df, text, key).select(
-            "term", F.col("tf").alias("cf"), F.lit(1).cast("bigint").alias("df")
-        )
+        # A text adds one to cf per token and one to df per distinct token.
+        def each(tokens: Column, cf: int, df_: int) -> Column:
+            return F.transform(tokens, lambda t: F.struct(
+                t.alias("term"), F.lit(cf).cast("bigint").alias("cf"), F.lit(df_).cast("bigint").alias("df")))
+
+        tokens = source.select(tx.words(F.col("text")).alias("tokens"))
+        partial = tokens.select(F.inline(F.concat(
+            each(F.col("tokens"), 1, 0), each(F.array_distinct("tokens"), 0, 1)
+        )))
     else:
         raise ValueError(f"unknown analyzer {analyzer!r}")
     return partial.groupBy("term").agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))

@@ -9,7 +9,6 @@ Rows are then compared with that key, so texts are neither sorted nor shuffled.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -56,9 +55,12 @@ def hash_cuts(keys: DataFrame, order: Column, tie: Column,
 
 
 def first_k(df: DataFrame, order: Column, tie: Column, k: Callable[[Column], Column],
-            by: list[str] | None = None, name: str = "chosen") -> DataFrame:
-    """Adds a boolean: is the row among the first k of its group in hash order."""
-    cuts = hash_cuts(df, order, tie, {"cut": k}, by)
+            by: list[str] | None = None, name: str = "chosen", keys: DataFrame | None = None) -> DataFrame:
+    """Adds a boolean: is the row among the first k of its group in hash order.
+
+    ``keys`` may name a cheaper frame with the same rows to find the cut from.
+    """
+    cuts = hash_cuts(df if keys is None else keys, order, tie, {"cut": k}, by)
     within = F.struct(order.alias("h"), tie.alias("t")) <= F.col("cut")
     if by:
         joined = df.join(F.broadcast(cuts), by, "left")
@@ -105,16 +107,17 @@ def stratified_split(df: DataFrame, test: float = 0.2, seed: int = K.SEED,
 
 
 def augmentation_mask(df: DataFrame, probability: float, epoch: int,
-                      seed: int = K.SEED, key: str = "row_id") -> DataFrame:
+                      seed: int = K.SEED, key: str = "row_id", name: str = "masked",
+                      keys: DataFrame | None = None) -> DataFrame:
     """Adds ``masked``, true on exactly round(n * probability) rows.
 
     The draw depends on seed + epoch only, so it changes per epoch and no other
     random step influences it.
     """
     if probability <= 0 or probability >= 1:
-        return df.withColumn("masked", F.lit(probability >= 1))
+        return df.withColumn(name, F.lit(probability >= 1))
     return first_k(df, seeded(seed + epoch, F.col(key)), F.col(key),
-                   lambda n: F.bround(n * probability), name="masked")
+                   lambda n: F.bround(n * probability), name=name, keys=keys)
 
 
 def augmented_text(masked: DataFrame, name: str = "text") -> DataFrame:
@@ -124,19 +127,24 @@ def augmented_text(masked: DataFrame, name: str = "text") -> DataFrame:
 
 
 def augmentation_effect(df: DataFrame, probability: float, epochs: list[int],
-                        seed: int = K.SEED) -> DataFrame:
-    """Per epoch, how many rows were asked to change and how many really did."""
-    per_epoch = [
-        augmentation_mask(df, probability, e, seed)
-        .agg(
+                        seed: int = K.SEED, key: str = "row_id") -> DataFrame:
+    """Per epoch, how many rows were asked to change and how many really did.
+
+    The draws read the key only; texts are compared in one pass for all epochs.
+    """
+    keys = df.select(key)
+    marked = df.select(key, (F.col("code") != F.col("stripped_code")).alias("changed"))
+    for e in epochs:
+        marked = augmentation_mask(marked, probability, e, seed, key, f"masked_{e}", keys)
+    per_epoch = F.array(*[
+        F.struct(
             F.lit(e).alias("epoch"),
-            F.count_if("masked").alias("requested_stripped_programs"),
-            F.count_if(F.col("masked") & (F.col("code") != F.col("stripped_code")))
-            .alias("actually_changed_programs"),
+            F.count_if(f"masked_{e}").alias("requested_stripped_programs"),
+            F.count_if(F.col(f"masked_{e}") & F.col("changed")).alias("actually_changed_programs"),
         )
         for e in epochs
-    ]
-    return reduce(DataFrame.unionByName, per_epoch)
+    ])
+    return marked.agg(per_epoch.alias("rows")).select(F.inline("rows"))
 
 
 def split_sizes(df: DataFrame) -> DataFrame:

@@ -301,5 +301,4 @@ def augmented_corpus(spark, sf):
     f"count_if(masked AND code <> stripped_code) AS actually_changed_programs FROM m{e}" for e in (1, 2, 3)),
     [(f"m{e}", _masked(e)) for e in (1, 2, 3)]))
 def augmentation_effect(spark, sf):
-    # Only the change flag is needed, so texts are cleaned once per epoch scan and dropped.
     return splits.augmentation_effect(_train(spark, sf), 0.5, [1, 2, 3])

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, functions as F
 
 from inkprint.operators.study import CELL, with_cells
 from inkprint.session import path_exists
@@ -17,19 +17,20 @@ from inkprint.session import path_exists
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def read_results(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
-
-
 def append_missing(samples: DataFrame, scorer: Scorer, path: str, batch: str) -> None:
     """Score the cells of completed samples that no other batch has scored."""
     spark = samples.sparkSession
     # A sample delivered twice in one batch is still one sample.
     completed = samples.where("generation_status = 'completed'").dropDuplicates(["sample"])
-    cells = with_cells(completed)
     if path_exists(spark, path):
         done = spark.read.parquet(path).where(f"batch <> '{batch}'").select(*CELL)
-        cells = cells.join(done, CELL, "left_anti")
+        # Cells are matched by key alone; each text is joined once to its missing
+        # cells (at most one per classifier, comment setting and mode).
+        missing = with_cells(completed.select("sample")).join(done, CELL, "left_anti")
+        per_sample = missing.groupBy("sample").agg(F.collect_list(F.struct(*CELL[1:])).alias("cells"))
+        cells = completed.join(per_sample, "sample").select("*", F.inline("cells")).drop("cells")
+    else:
+        cells = with_cells(completed)
     scorer(cells).write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
