@@ -48,6 +48,19 @@ MAX_CODE_CHARS = 100_000
 MAX_IMPORT_RECORDS = 100
 MAX_STUDY_SAMPLES = 1000
 
+# Texts written into results: resume note, match categories, notes.
+RESUME_NOTE = "Interrupted request; may have been billed. Not automatically repeated."
+MATCH = "Match"
+MISMATCH = "Mismatch"
+FAMILY_MATCH = "Family match only"
+DIFFERENT_LABEL = "Different label"
+NOT_COMPARABLE = "Not comparable"
+NOT_ASSESSED = "Not assessed"
+NOTE_CHUNKS = " chunks; averaged scores"
+NOTE_TRUNCATED = "Truncated at 512 tokens"
+NOTE_OUTPUT_LIMIT = "Generation hit output limit"
+NOTE_UNVERIFIED = "Different version / unverified ID"
+
 # Column order of the flat study comparison report.
 COMPARISON_COLUMNS = [
     "sample", "task", "repetition", "requested_model", "returned_model",

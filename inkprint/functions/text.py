@@ -11,6 +11,7 @@ from inkprint.constants import INPUT_PREFIX, MAX_CODE_CHARS
 WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WORD = r"\p{L}\p{N}_"
 
+# The kinds of C source pieces that decide what a comment is.
 # One alternative per kind of piece: string, character literal, line comment,
 # block comment, plain run, any single character. Possessive quantifiers keep
 # Java's matcher from recursing on long literals.

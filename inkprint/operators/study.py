@@ -66,7 +66,7 @@ def resume_status(samples: DataFrame) -> DataFrame:
         "resumed_status", F.when(interrupted, "uncertain").otherwise(F.col("generation_status"))
     ).withColumn(
         "resume_note",
-        F.when(interrupted, "Interrupted request; may have been billed. Not automatically repeated."),
+        F.when(interrupted, K.RESUME_NOTE),
     ).withColumn("to_process", F.col("generation_status") == "pending")
 
 
@@ -190,20 +190,20 @@ def match_category(df: DataFrame) -> DataFrame:
     out = df.withColumn("exact_reference", exact)
     exact = F.col("exact_reference")
     category = (
-        F.when(F.col("error").isNotNull(), "Not assessed")
-        .when(exact & match, "Match")
-        .when(exact, "Mismatch")
-        .when(expected.isNull(), "Not comparable")
-        .when(match, "Family match only")
-        .otherwise("Different label")
+        F.when(F.col("error").isNotNull(), K.NOT_ASSESSED)
+        .when(exact & match, K.MATCH)
+        .when(exact, K.MISMATCH)
+        .when(expected.isNull(), K.NOT_COMPARABLE)
+        .when(match, K.FAMILY_MATCH)
+        .otherwise(K.DIFFERENT_LABEL)
     )
     notes = F.concat_ws(
         "; ",
         F.when(F.col("analysis_mode") == "chunks",
-               F.concat(F.col("chunk_count").cast("string"), F.lit(" chunks; averaged scores"))),
-        F.when(F.col("truncated"), F.lit("Truncated at 512 tokens")),
-        F.when(F.col("finish_reason") == "length", F.lit("Generation hit output limit")),
-        F.when(~exact, F.lit("Different version / unverified ID")),
+               F.concat(F.col("chunk_count").cast("string"), F.lit(K.NOTE_CHUNKS))),
+        F.when(F.col("truncated"), F.lit(K.NOTE_TRUNCATED)),
+        F.when(F.col("finish_reason") == "length", F.lit(K.NOTE_OUTPUT_LIMIT)),
+        F.when(~exact, F.lit(K.NOTE_UNVERIFIED)),
     )
     return out.withColumn("match", category).withColumn(
         "notes", F.when(F.col("error").isNotNull(), F.col("error")).otherwise(notes)
