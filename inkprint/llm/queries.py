@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkprint.llm import decontaminate, quality_rules
-from inkprint.llm.sql import OP6_SQL, OP10_SQL
+from inkprint.llm import decontaminate, mixing, quality_rules, url_filter
+from inkprint.llm.sql import OP1_SQL, OP6_SQL, OP10_SQL, URL_RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("_row.page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.report(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
@@ -27,7 +36,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
+    "op3_mixing": op3_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op10_decontamination": op10_decontamination,
 }
-ORACLES: dict[str, str] = {"op6_quality_rules": OP6_SQL, "op10_decontamination": OP10_SQL}
+ORACLES: dict[str, str] = {"op1_url_filter": OP1_SQL, "op6_quality_rules": OP6_SQL, "op10_decontamination": OP10_SQL}

@@ -1,5 +1,10 @@
 """The queries of this package in DuckDB SQL, where SQL can express them."""
 
+from inkprint.llm.url_filter import LIMIT, SOFT, STRICT
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Fixed values of the contract.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 OP6_SQL = r"""
@@ -69,3 +74,25 @@ sizes AS (SELECT id, count(*) AS n FROM grams WHERE kind = 'item' GROUP BY id)
 SELECT d.id AS doc_id, i.id AS item_id, any_value(s.n) AS n_windows, count(*) AS n_shared
 FROM grams i JOIN grams d ON i.kind = 'item' AND d.kind = 'doc' AND i.k = d.k AND i.g = d.g JOIN sizes s ON s.id = i.id
 GROUP BY d.id, i.id HAVING count(*) * 5 >= 4 * any_value(s.n)"""
+
+
+def _op1() -> str:
+    rules = sorted(URL_RULES, key=lambda r: (-len(r[0]), r[0]))
+    fits = lambda r: f"(host = '{r[: r.index('/')]}' OR ends_with(host, '.{r[: r.index('/')]}')) AND starts_with(path, '{r[r.index('/'):]}')"
+    rule = " ".join(f"WHEN {fits(r)} THEN '{r}'" for r, _ in rules)
+    verdict = " ".join(f"WHEN {fits(r)} THEN '{v}'" for r, v in rules)
+    hit = lambda t: f"CAST(regexp_matches(u, '(^|[^0-9a-z]){t}([^0-9a-z]|$)') AS BIGINT)"
+    return f"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(url, ''), '{UPPER}', '{UPPER.lower()}') AS u,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{UPPER}', '{UPPER.lower()}') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+counted AS (
+  SELECT *, {" + ".join(hit(t) for t in STRICT)} AS n_strict, {" + ".join(hit(t) for t in SOFT)} AS n_soft FROM parts)
+SELECT page_id, host, path, CASE {rule} END AS rule, n_strict, n_soft,
+       CASE {verdict} WHEN n_strict > 0 OR n_soft >= {LIMIT} THEN 'block' ELSE 'allow' END AS verdict
+FROM counted"""
+
+
+OP1_SQL = _op1()
