@@ -111,13 +111,12 @@ def group_fences(measured: DataFrame, reach: int = REACH, least_rows: int = LEAS
     """Fences per language and source, from the narrowest sketch with enough rows."""
     own = sketches(measured, ["lang", "source"])
     of_lang = merge(own, ["lang"])
-    of_all = merge(of_lang.withColumn("every", F.lit(1)), ["every"])
-    named = lambda frame, name: frame.select(*[c for c in frame.columns if c in ("lang", "every")], F.struct("rows", *RATES).alias(name))
-    narrow = fences(own, ["lang", "source"], reach).withColumn("every", F.lit(1)).alias("a")
-    wide = named(fences(of_lang, ["lang"], reach), "_lang").alias("b")
-    widest = named(fences(of_all, ["every"], reach), "_all").alias("c")
-    joined = narrow.join(wide, F.expr("a.lang <=> b.lang")).join(widest, F.expr("a.every = c.every"))
-    pick = lambda r: F.when(F.col("a.rows") >= least_rows, F.col(f"a.{r}")).when(F.col("_lang.rows") >= least_rows, F.col(f"_lang.{r}")).otherwise(F.col(f"_all.{r}"))
+    every = fences(merge(of_lang.withColumn("every", F.lit(1)), ["every"]), ["every"], reach).first()
+    narrow = fences(own, ["lang", "source"], reach).alias("a")
+    wide = fences(of_lang, ["lang"], reach).alias("b")
+    pick = lambda r: F.when(F.col("a.rows") >= least_rows, F.col(f"a.{r}")).when(
+        F.col("b.rows") >= least_rows, F.col(f"b.{r}")).otherwise(F.lit(every and every[r]).cast("bigint"))
+    joined = narrow.join(wide, F.expr("a.lang <=> b.lang"))
     return joined.select(F.col("a.lang").alias("_lang_key"), "a.source", *[pick(r).alias(f"max_{r}") for r in RATES])
 
 

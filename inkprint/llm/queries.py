@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkprint.llm import decontaminate, mixing, quality_rules, url_filter
+from inkprint.llm import decontaminate, mixing, ngram_join, quality_rules, url_filter
 from inkprint.llm.sql import OP1_SQL, OP6_SQL, OP10_SQL, URL_RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", F.col("n_windows").cast("bigint").alias("n_windows"), F.col("n_shared").cast("bigint").alias("n_shared"))
@@ -39,6 +43,7 @@ QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op3_mixing": op3_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_ngram_join": op7_ngram_join,
     "op10_decontamination": op10_decontamination,
 }
 ORACLES: dict[str, str] = {"op1_url_filter": OP1_SQL, "op6_quality_rules": OP6_SQL, "op10_decontamination": OP10_SQL}
