@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkprint.llm import decontaminate, mixing, ngram_join, pii, quality_rules, url_filter
+from inkprint.llm import decontaminate, lm_score, mixing, ngram_join, pii, quality_rules, url_filter
 from inkprint.llm.sql import OP1_SQL, OP6_SQL, OP10_SQL, URL_RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.report(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
@@ -47,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op3_mixing": op3_mixing,
     "op4_pii": op4_pii,
+    "op5_lm_score": op5_lm_score,
     "op6_quality_rules": op6_quality_rules,
     "op7_ngram_join": op7_ngram_join,
     "op10_decontamination": op10_decontamination,

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,8 +31,7 @@ SOFT = ("ads", "adserver", "affiliate", "banner", "bet", "bets", "betting", "bon
 VOCABULARY: dict[str, int] = {**dict.fromkeys(STRICT, LIMIT), **dict.fromkeys(SOFT, 1)}
 
 
-@lru_cache(maxsize=4)
-def _automaton(terms: tuple[str, ...]):
+def automaton(terms: list[str]):
     import ahocorasick
 
     built = ahocorasick.Automaton()
@@ -43,22 +41,23 @@ def _automaton(terms: tuple[str, ...]):
     return built
 
 
-def hits(url: str | None, terms: tuple[str, ...]) -> list[str]:
+def hits(url: str | None, built) -> list[str]:
     """Distinct vocabulary terms of one lower-cased URL that stand between boundaries, sorted."""
     if not url:
         return []
     edge = lambda at: not 0 <= at < len(url) or re.match("[0-9a-z]", url[at]) is None
-    return sorted({term for end, term in _automaton(terms).iter(url) if edge(end + 1) and edge(end - len(term))})
+    return sorted({term for end, term in built.iter(url) if edge(end + 1) and edge(end - len(term))})
 
 
 def vocabulary_hits(url: Column, vocabulary: dict[str, int]) -> Column:
     """Array of the distinct terms found."""
-    terms = tuple(sorted(vocabulary))
+    terms = sorted(vocabulary)
 
     @F.pandas_udf("array<string>")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        built = automaton(terms)
         for batch in batches:
-            yield batch.map(lambda u: hits(u, terms))
+            yield batch.map(lambda u: hits(u, built))
 
     return found(url)
 

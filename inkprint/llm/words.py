@@ -25,7 +25,8 @@ def text_of(column: str) -> Column:
 
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and leave every other character as it is."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    one_byte = F.octet_length(text) == F.length(text)
+    return F.when(one_byte, F.lower(text)).otherwise(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
 
 def words(text: Column) -> Column:
