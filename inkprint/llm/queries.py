@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkprint.llm import decontaminate, lm_score, mixing, ngram_join, pii, quality_rules, url_filter
+from inkprint.llm import decontaminate, lm_score, mixing, ngram_join, pii, quality_rules, toxicity, url_filter
 from inkprint.llm.sql import OP1_SQL, OP6_SQL, OP10_SQL, URL_RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("_row.page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
+    "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_pii": op4_pii,
     "op5_lm_score": op5_lm_score,

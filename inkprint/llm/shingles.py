@@ -36,15 +36,20 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def hash_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, A-Z lower-cased, and where each text's words begin and end."""
+def hash_words(texts: list[str | None], gaps: np.ndarray = _SPACE, starts_of: tuple[int, ...] = ()) -> tuple:
+    """Hashes of all words of the texts, A-Z lower-cased, and where each text's words begin and end.
+
+    ``gaps`` marks the bytes between words. For each length in ``starts_of`` a further array holds the hash of
+    that many first bytes of each word, 0 for shorter words.
+    """
     blobs = [t.encode("utf-8", "replace").lower() if t else b"" for t in texts]
     data = np.frombuffer(b"\n".join([*blobs, b""]), np.uint8)
     inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~gaps[data]
     edges = np.flatnonzero(np.diff(inside))
     starts, ends = edges[0::2], edges[1::2]
     hashes = np.empty(len(starts), _U)
+    firsts = [np.zeros(len(starts), _U) for _ in starts_of]
     up, down, at = _powers(_BASE, SLICE), _powers(_INVERSE, SLICE), 0
     while at < len(starts):
         to = max(at + 1, int(np.searchsorted(ends, starts[at] + SLICE, "right")))
@@ -53,10 +58,14 @@ def hash_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
             up, down = _powers(_BASE, length), _powers(_INVERSE, length)
         sums = np.zeros(length + 1, _U)
         np.cumsum(_BYTES[data[first:first + length]] * up[:length], out=sums[1:])
-        hashes[at:to] = (sums[ends[at:to] - first] - sums[starts[at:to] - first]) * down[starts[at:to] - first]
+        s, e = starts[at:to] - first, ends[at:to] - first
+        hashes[at:to] = (sums[e] - sums[s]) * down[s]
+        for size, out in zip(starts_of, firsts):
+            long = e - s >= size
+            out[at:to][long] = mix((sums[s[long] + size] - sums[s[long]]) * down[s[long]])
         at = to
     offsets = np.cumsum([0, *[len(b) + 1 for b in blobs]])
-    return mix(hashes), np.searchsorted(starts, offsets)
+    return (mix(hashes), np.searchsorted(starts, offsets), *firsts)
 
 
 def slices(texts: list[str | None], most: int = SLICE) -> Iterator[tuple[int, int]]:
