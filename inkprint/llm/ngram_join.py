@@ -17,10 +17,11 @@ condition of a link, so none loses one:
 4. Candidates must share a prefix token under a third order as well, and under the first, before the sets
    are intersected.
 
-Groups are never expanded into all pairs. Within a token, all sets are first paired with one hub, the set with the
-fewest unshared tokens; verified pairs give components. What remains is pairs of different components in one
+Groups are never expanded into all pairs. Within a token, all sets are first paired with one hub, a set with few
+unshared tokens; verified pairs give components. What remains is pairs of different components in one
 token: only sets outside the token's largest component are paired, by equality of token and size cell,
-with sets of a size that their own s allows.
+with sets of a size that their own s allows and whose parity sketch (of each hash cell, whether it holds an odd
+number of tokens) differs in no more bits than linked sets may differ in tokens.
 
 Rows without words have an empty set, class and links of their own. Null ids get null classes and
 are linked with nothing. Repeated rows share their class. ``doc_id`` names one text.
@@ -44,7 +45,9 @@ ship_with_job(__name__)
 WIDTH = 3
 #: Rows of (id) or (id, id) that may be broadcast after they have been counted; beyond, the join is shuffled.
 BROADCAST_ROWS = 500_000
-_ORDER_TWO, _ORDER_THREE = 0x51ED270B3F4C1A2D, 0x7A3C9E5512B8F06B
+#: 64-bit words of the parity sketch that tells apart sets of one group of copies.
+PARITY_WORDS = 8
+_ORDER_TWO, _ORDER_THREE, _PARITY = 0x51ED270B3F4C1A2D, 0x7A3C9E5512B8F06B, 0x2C1B3C6D94D049BB
 
 
 def checked(small: DataFrame) -> DataFrame:
@@ -71,7 +74,7 @@ def _profiles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
             sets = list(shingle_sets(part.column("text").to_pylist(), width))
             f1 = [int(mix(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
             f2 = [int(np.bitwise_xor.reduce(mix(s ^ np.uint64(_ORDER_TWO))).view(np.int64)) if len(s) else 0 for s in sets]
-            posted = [s[: prefix_length(len(s)) + len(s) // 20] for s in sets]
+            posted = [s[: prefix_length(len(s)) + len(s) // 10] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(f1, pa.int64()),
                  pa.array(f2, pa.int64()), _lists(posted)], names=["doc_id", "n", "f1", "f2", "posted"])
@@ -98,53 +101,63 @@ def _unshared(postings: DataFrame, by: str) -> DataFrame:
 
 
 def _order_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Prefix of order two without its unshared tokens; tokens: all of a set, unshared: those nobody else has."""
+    """Prefix of order two without its unshared tokens, and the parity sketch of the set."""
     for batch in batches:
-        found = []
+        found, parity = [], []
         for tokens, alone in zip(batch.column("tokens"), batch.column("unshared")):
             own = np.array(tokens.values, np.int64).view(np.uint64)
             skip = np.array(alone.values, np.int64).view(np.uint64) if alone.is_valid else np.zeros(0, np.uint64)
             rest = own[~np.isin(own, skip)]
             ranked = rest[np.argsort(mix(rest ^ np.uint64(_ORDER_TWO)))]
             found.append(ranked[: max(0, prefix_length(len(own)) - len(skip))])
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), batch.column("s"), _lists(found)], names=["id", "n", "s", "prefix"])
+            bits = np.bincount((mix(own ^ np.uint64(_PARITY)) % np.uint64(64 * PARITY_WORDS)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+            parity.append(np.packbits(bits.astype(np.uint8)).view(np.uint64))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), batch.column("s"), _lists(found), _lists(parity)],
+                                         names=["id", "n", "s", "prefix", "parity"])
 
 
-def _linked(a: np.ndarray, b: np.ndarray) -> bool:
-    """Prefix filters of orders one and three, then the exact test."""
+def _filtered(a: np.ndarray, b: np.ndarray) -> bool:
+    """Prefix filters of orders one and three."""
     p, q = prefix_length(len(a)), prefix_length(len(b))
     if not np.isin(a[:p], b[:q], assume_unique=True).any():
         return False
     x, y = mix(a ^ np.uint64(_ORDER_THREE)), mix(b ^ np.uint64(_ORDER_THREE))
-    if not np.isin(np.partition(x, p - 1)[:p], np.partition(y, q - 1)[:q], assume_unique=True).any():
-        return False
-    shared = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * shared >= 90 * (len(a) + len(b) - shared)
+    return bool(np.isin(np.partition(x, p - 1)[:p], np.partition(y, q - 1)[:q], assume_unique=True).any())
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _intersected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Exact number of common tokens; 0 for pairs that the filters exclude."""
     for batch in batches:
-        yes = []
+        shared = []
         for x, y in zip(batch.column("ta"), batch.column("tb")):
             a, b = (np.array(t.values, np.int64).view(np.uint64) for t in (x, y))
-            yes.append(_linked(a, b))
-        keep = pa.array(yes, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(keep)
+            shared.append(len(np.intersect1d(a, b, assume_unique=True)) if _filtered(a, b) else 0)
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("a", "b", "na", "nb")], pa.array(shared, pa.int64())], names=["a", "b", "na", "nb", "shared"])
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that are linked."""
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with their sizes and number of common tokens."""
     stored = materialize(pairs, "pairs")
     hubs = checked(stored.select(F.col("b").alias("id")).distinct())
-    left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta")).join(checked(stored), "a")
-    right = sets.join(hubs, "id", "left_semi").select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
-    return left.join(right, "b").select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint")
+    left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")).join(checked(stored), "a")
+    right = sets.join(hubs, "id", "left_semi").select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+    both = left.join(right, "b").select("a", "b", "na", "nb", "ta", "tb")
+    return materialize(both.mapInArrow(_intersected, "a bigint, b bigint, na bigint, nb bigint, shared bigint"), "overlaps")
+
+
+def _links(overlaps: DataFrame) -> DataFrame:
+    return overlaps.where("100 * shared >= 90 * (na + nb - shared)").select("a", "b")
 
 
 def _may_link(na: Column, sa: Column, nb: Column, sb: Column) -> Column:
     """Whether the sizes and shared tokens of two sets allow a link."""
-    most = F.least(sa, sb)
-    return 19 * most >= 9 * (na + nb)
+    return 19 * F.least(sa, sb) >= 9 * (na + nb)
+
+
+def _may_match(left: str, right: str) -> Column:
+    """Whether the parity sketches allow a link: bits that differ are at most the tokens that differ."""
+    differ = sum((F.bit_count(F.col(f"{left}{k}").bitwiseXOR(F.col(f"{right}{k}"))) for k in range(PARITY_WORDS)), F.lit(0))
+    return 19 * differ <= F.col(f"n{left}") + F.col(f"n{right}")
 
 
 def _cell(n: Column) -> Column:
@@ -154,24 +167,36 @@ def _cell(n: Column) -> Column:
 
 
 def _hub_pairs(postings: DataFrame) -> DataFrame:
-    """Each set with the hubs of its tokens; a hub is the token's set with the fewest unshared tokens."""
-    hubs = postings.groupBy("token").agg(F.min(F.struct((F.col("n") - F.col("s")).alias("u"), F.col("id"), F.col("n"), F.col("s"))).alias("h"), F.count("*").alias("df"))
-    hubs = hubs.where("df > 1").select("token", F.col("h.id").alias("b"), F.col("h.n").alias("nb"), F.col("h.s").alias("sb"))
+    """Each set with the hubs of its tokens.
+
+    A token's first choice is its set with the fewest unshared tokens; its hub is the one of its sets that most
+    tokens chose, so that the tokens of one group of copies agree on one hub.
+    """
+    chosen = postings.groupBy("token").agg(F.min(F.struct((F.col("n") - F.col("s")).alias("u"), F.col("id"))).alias("h"), F.count("*").alias("df"))
+    votes = chosen.where("df > 1").groupBy(F.col("h.id").alias("id")).agg(F.count("*").alias("votes"))
+    ranked = postings.join(votes, "id")
+    hubs = ranked.groupBy("token").agg(F.max(F.struct("votes", "s", "id", "n")).alias("h"))
+    hubs = hubs.select("token", F.col("h.id").alias("b"), F.col("h.n").alias("nb"), F.col("h.s").alias("sb"))
     met = postings.join(hubs, "token").where("id <> b").where(_may_link(F.col("n"), F.col("s"), F.col("nb"), F.col("sb")))
     return met.select(F.col("id").alias("a"), "b").distinct()
 
 
-def _rest_pairs(postings: DataFrame) -> DataFrame:
-    """Pairs of different components that share a token; ``postings`` has the component of each set."""
+def _rest_pairs(postings: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of different components that share a token; ``postings`` has the component of each set.
+
+    ``known`` has the parity sketch of each set; pairs whose sketches differ too much are not made.
+    """
     sides = postings.groupBy("token", "component").agg(F.count("*").alias("k"))
     largest = sides.groupBy("token").agg(F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("sides"))
     mixed = largest.where("sides > 1").select("token", F.col("top.component").alias("main"))
-    open_ = postings.join(mixed, "token").withColumn("cell", _cell(F.col("n")))
+    open_ = materialize(postings.join(mixed, "token").withColumn("cell", _cell(F.col("n"))).join(known, "id"), "open")
+    side = lambda frame, x: frame.select("token", "cell", F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"),
+                                         F.col("component").alias(f"c{x}"), *[F.col("parity")[k].alias(f"{x}{k}") for k in range(PARITY_WORDS)])
     least, most = F.floor((9 * F.col("n") + 9) / 10), F.floor(19 * F.col("s") / 9) - F.col("n")
     few = open_.where("component <> main").withColumn("lo", _cell(least)).withColumn("hi", _cell(most)).where("lo <= hi")
-    few = few.select("token", F.explode(F.sequence("lo", "hi")).alias("cell"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"), F.col("component").alias("ca"))
-    met = few.join(open_.select("token", "cell", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"), F.col("component").alias("cb")), ["token", "cell"])
-    met = met.where(F.col("ca") != F.col("cb")).where(_may_link(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb")))
+    few = side(few.withColumn("cell", F.explode(F.sequence("lo", "hi"))), "a")
+    met = few.join(side(open_, "b"), ["token", "cell"])
+    met = met.where((F.col("ca") != F.col("cb")) & _may_link(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb")) & _may_match("a", "b"))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -184,7 +209,7 @@ def classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     # Order one: sets with enough posted tokens that other sets posted too.
     posted = named.select("f1", F.explode("posted").alias("token"))
     alone = _unshared(posted, "f1").groupBy("f1").agg(F.count("*").alias("alone"))
-    least = F.expr("n - (9 * n + 9) div 10 + 1 + n div 20 - coalesce(alone, 0) >= 1 + (9 * n) div 200")
+    least = F.expr("n - (9 * n + 9) div 10 + 1 + n div 10 - coalesce(alone, 0) >= 1 + (9 * n) div 100")
     survivors = checked(reps.join(alone, "f1", "left").where(least).select(F.col("rep").alias("id")))
 
     # All tokens of the sets that remain; those that no other of them has.
@@ -194,14 +219,13 @@ def classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     own = materialize(_unshared(sets.select("id", F.explode("tokens").alias("token")), "id"), "unshared").groupBy("id").agg(
         F.collect_list("token").alias("unshared"))
     near = sets.join(own, "id", "left").withColumn("s", F.col("n") - F.coalesce(F.size("unshared"), F.lit(0))).where("10 * s >= 9 * n")
-    two = near.select("id", "n", F.col("s").cast("bigint").alias("s"), "tokens", "unshared").mapInArrow(
-        _order_two, "id bigint, n bigint, s bigint, prefix array<bigint>")
-    postings = materialize(two.select("id", "n", "s", F.explode("prefix").alias("token")), "postings")
-
-    star = materialize(_verify(_hub_pairs(postings), sets), "links")
-    first = components(star)
-    labelled = postings.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rest = materialize(_verify(_rest_pairs(materialize(labelled, "labelled")), sets), "links")
+    two = materialize(near.select("id", "n", F.col("s").cast("bigint").alias("s"), "tokens", "unshared").mapInArrow(
+        _order_two, "id bigint, n bigint, s bigint, prefix array<bigint>, parity array<bigint>"), "two")
+    postings, known = two.select("id", "n", "s", F.explode("prefix").alias("token")), two.select("id", "parity")
+
+    star = _links(_overlaps(_hub_pairs(postings), sets))
+    labelled = postings.join(components(star), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rest = _links(_overlaps(_rest_pairs(materialize(labelled, "labelled"), known), sets))
     final = components(star.union(rest))
 
     of_set = reps.join(final, F.col("rep") == F.col("id"), "left").select("n", "f1", "f2", F.coalesce("component", "rep").alias("component"))
