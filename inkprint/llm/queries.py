@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkprint.llm import decontaminate, lm_score, mixing, ngram_join, pii, quality_rules, toxicity, url_filter
+from inkprint.llm import decontaminate, lm_score, mixing, ngram_join, pii, pu_quality, quality_rules, toxicity, url_filter
 from inkprint.llm.sql import OP1_SQL, OP6_SQL, OP10_SQL, URL_RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", F.col("n_windows").cast("bigint").alias("n_windows"), F.col("n_shared").cast("bigint").alias("n_shared"))
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op5_lm_score": op5_lm_score,
     "op6_quality_rules": op6_quality_rules,
     "op7_ngram_join": op7_ngram_join,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_decontamination": op10_decontamination,
 }
 ORACLES: dict[str, str] = {"op1_url_filter": OP1_SQL, "op6_quality_rules": OP6_SQL, "op10_decontamination": OP10_SQL}
