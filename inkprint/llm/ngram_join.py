@@ -1,7 +1,7 @@
 """N-gram Jaccard join: exact clusters of texts whose shingle sets overlap, by several global token orders.
 
 A text's set holds its distinct shingles of ``WIDTH`` words (64-bit hashes of A-Z lower-cased words). Two
-sets are linked when ``100 * intersection >= 90 * union``; a text's class is its component.
+sets are linked when ``100 * intersection >= PERCENT * union`` (90 below, as an example); a text's class is its component.
 
 Texts with equal sets are one set from the start. For the others, every filter below is a necessary
 condition of a link, so none loses one:
@@ -43,6 +43,7 @@ from inkprint.session import materialize
 ship_with_job(__name__)
 
 WIDTH = 3
+PERCENT = 90
 #: Rows of (id) or (id, id) that may be broadcast after they have been counted; beyond, the join is shuffled.
 BROADCAST_ROWS = 500_000
 #: 64-bit words of the parity sketch that tells apart sets of one group of copies.
@@ -62,11 +63,11 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.LargeListArray.from_arrays(ends, values.view(np.int64)).cast(pa.list_(pa.int64()))
 
 
-def prefix_length(n: int) -> int:
-    return n - (9 * n + 9) // 10 + 1
+def prefix_length(n: int, percent: int) -> int:
+    return n - (percent * n + 99) // 100 + 1
 
 
-def _profiles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _profiles(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Per text: size, 128-bit fingerprint of its set, prefix under order one."""
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
@@ -74,7 +75,7 @@ def _profiles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
             sets = list(shingle_sets(part.column("text").to_pylist(), width))
             f1 = [int(mix(s).sum(dtype=np.uint64).view(np.int64)) for s in sets]
             f2 = [int(np.bitwise_xor.reduce(mix(s ^ np.uint64(_ORDER_TWO))).view(np.int64)) if len(s) else 0 for s in sets]
-            posted = [s[: prefix_length(len(s)) + len(s) // 10] for s in sets]
+            posted = [s[: prefix_length(len(s), percent) + len(s) // 10] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(f1, pa.int64()),
                  pa.array(f2, pa.int64()), _lists(posted)], names=["doc_id", "n", "f1", "f2", "posted"])
@@ -89,9 +90,9 @@ def _tokens(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
                                              names=["id", "n", "tokens"])
 
 
-def profiles(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def profiles(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     told = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return told.mapInArrow(lambda x: _profiles(x, width), "doc_id bigint, n bigint, f1 bigint, f2 bigint, posted array<bigint>")
+    return told.mapInArrow(lambda x: _profiles(x, width, percent), "doc_id bigint, n bigint, f1 bigint, f2 bigint, posted array<bigint>")
 
 
 def _unshared(postings: DataFrame, by: str) -> DataFrame:
@@ -100,7 +101,7 @@ def _unshared(postings: DataFrame, by: str) -> DataFrame:
     return once.select(by, "token")
 
 
-def _order_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _order_two(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Prefix of order two without its unshared tokens, and the parity sketch of the set."""
     for batch in batches:
         found, parity = [], []
@@ -109,55 +110,55 @@ def _order_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             skip = np.array(alone.values, np.int64).view(np.uint64) if alone.is_valid else np.zeros(0, np.uint64)
             rest = own[~np.isin(own, skip)]
             ranked = rest[np.argsort(mix(rest ^ np.uint64(_ORDER_TWO)))]
-            found.append(ranked[: max(0, prefix_length(len(own)) - len(skip))])
+            found.append(ranked[: max(0, prefix_length(len(own), percent) - len(skip))])
             bits = np.bincount((mix(own ^ np.uint64(_PARITY)) % np.uint64(64 * PARITY_WORDS)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
             parity.append(np.packbits(bits.astype(np.uint8)).view(np.uint64))
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), batch.column("s"), _lists(found), _lists(parity)],
                                          names=["id", "n", "s", "prefix", "parity"])
 
 
-def _filtered(a: np.ndarray, b: np.ndarray) -> bool:
+def _filtered(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Prefix filters of orders one and three."""
-    p, q = prefix_length(len(a)), prefix_length(len(b))
+    p, q = prefix_length(len(a), percent), prefix_length(len(b), percent)
     if not np.isin(a[:p], b[:q], assume_unique=True).any():
         return False
     x, y = mix(a ^ np.uint64(_ORDER_THREE)), mix(b ^ np.uint64(_ORDER_THREE))
     return bool(np.isin(np.partition(x, p - 1)[:p], np.partition(y, q - 1)[:q], assume_unique=True).any())
 
 
-def _intersected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _intersected(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Exact number of common tokens; 0 for pairs that the filters exclude."""
     for batch in batches:
         shared = []
         for x, y in zip(batch.column("ta"), batch.column("tb")):
             a, b = (np.array(t.values, np.int64).view(np.uint64) for t in (x, y))
-            shared.append(len(np.intersect1d(a, b, assume_unique=True)) if _filtered(a, b) else 0)
+            shared.append(len(np.intersect1d(a, b, assume_unique=True)) if _filtered(a, b, percent) else 0)
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("a", "b", "na", "nb")], pa.array(shared, pa.int64())], names=["a", "b", "na", "nb", "shared"])
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with their sizes and number of common tokens."""
     stored = materialize(pairs, "pairs")
     hubs = checked(stored.select(F.col("b").alias("id")).distinct())
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")).join(checked(stored), "a")
     right = sets.join(hubs, "id", "left_semi").select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     both = left.join(right, "b").select("a", "b", "na", "nb", "ta", "tb")
-    return materialize(both.mapInArrow(_intersected, "a bigint, b bigint, na bigint, nb bigint, shared bigint"), "overlaps")
+    return materialize(both.mapInArrow(lambda x: _intersected(x, percent), "a bigint, b bigint, na bigint, nb bigint, shared bigint"), "overlaps")
 
 
-def _links(overlaps: DataFrame) -> DataFrame:
-    return overlaps.where("100 * shared >= 90 * (na + nb - shared)").select("a", "b")
+def _links(overlaps: DataFrame, percent: int) -> DataFrame:
+    return overlaps.where(100 * F.col("shared") >= percent * F.expr("na + nb - shared")).select("a", "b")
 
 
-def _may_link(na: Column, sa: Column, nb: Column, sb: Column) -> Column:
+def _may_link(na: Column, sa: Column, nb: Column, sb: Column, percent: int) -> Column:
     """Whether the sizes and shared tokens of two sets allow a link."""
-    return 19 * F.least(sa, sb) >= 9 * (na + nb)
+    return (100 + percent) * F.least(sa, sb) >= percent * (na + nb)
 
 
-def _may_match(left: str, right: str) -> Column:
+def _may_match(left: str, right: str, percent: int) -> Column:
     """Whether the parity sketches allow a link: bits that differ are at most the tokens that differ."""
     differ = sum((F.bit_count(F.col(f"{left}{k}").bitwiseXOR(F.col(f"{right}{k}"))) for k in range(PARITY_WORDS)), F.lit(0))
-    return 19 * differ <= F.col(f"n{left}") + F.col(f"n{right}")
+    return (100 + percent) * differ <= (100 - percent) * (F.col(f"n{left}") + F.col(f"n{right}"))
 
 
 def _cell(n: Column) -> Column:
@@ -166,7 +167,7 @@ def _cell(n: Column) -> Column:
     return F.when(n < 128, n).otherwise(shift * 64 + F.floor(n / F.pow(F.lit(2), shift))).cast("bigint")
 
 
-def _hub_pairs(postings: DataFrame) -> DataFrame:
+def _hub_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """Each set with the hubs of its tokens.
 
     A token's first choice is its set with the fewest unshared tokens; its hub is the one of its sets that most
@@ -177,11 +178,11 @@ def _hub_pairs(postings: DataFrame) -> DataFrame:
     ranked = postings.join(votes, "id")
     hubs = ranked.groupBy("token").agg(F.max(F.struct("votes", "s", "id", "n")).alias("h"))
     hubs = hubs.select("token", F.col("h.id").alias("b"), F.col("h.n").alias("nb"), F.col("h.s").alias("sb"))
-    met = postings.join(hubs, "token").where("id <> b").where(_may_link(F.col("n"), F.col("s"), F.col("nb"), F.col("sb")))
+    met = postings.join(hubs, "token").where("id <> b").where(_may_link(F.col("n"), F.col("s"), F.col("nb"), F.col("sb"), percent))
     return met.select(F.col("id").alias("a"), "b").distinct()
 
 
-def _rest_pairs(postings: DataFrame, known: DataFrame) -> DataFrame:
+def _rest_pairs(postings: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a token; ``postings`` has the component of each set.
 
     ``known`` has the parity sketch of each set; pairs whose sketches differ too much are not made.
@@ -192,24 +193,24 @@ def _rest_pairs(postings: DataFrame, known: DataFrame) -> DataFrame:
     open_ = materialize(postings.join(mixed, "token").withColumn("cell", _cell(F.col("n"))).join(known, "id"), "open")
     side = lambda frame, x: frame.select("token", "cell", F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("s").alias(f"s{x}"),
                                          F.col("component").alias(f"c{x}"), *[F.col("parity")[k].alias(f"{x}{k}") for k in range(PARITY_WORDS)])
-    least, most = F.floor((9 * F.col("n") + 9) / 10), F.floor(19 * F.col("s") / 9) - F.col("n")
+    least, most = F.expr(f"({percent} * n + 99) div 100"), F.expr(f"({100 + percent} * s) div {percent} - n")
     few = open_.where("component <> main").withColumn("lo", _cell(least)).withColumn("hi", _cell(most)).where("lo <= hi")
     few = side(few.withColumn("cell", F.explode(F.sequence("lo", "hi"))), "a")
     met = few.join(side(open_, "b"), ["token", "cell"])
-    met = met.where((F.col("ca") != F.col("cb")) & _may_link(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb")) & _may_match("a", "b"))
+    met = met.where((F.col("ca") != F.col("cb")) & _may_link(F.col("na"), F.col("sa"), F.col("nb"), F.col("sb"), percent) & _may_match("a", "b", percent))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
-    told = materialize(profiles(docs, width), "profiles")
+    told = materialize(profiles(docs, width, percent), "profiles")
     named = told.where("doc_id is not null and n > 0")
     reps = materialize(named.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")), "reps")
 
     # Order one: sets with enough posted tokens that other sets posted too.
     posted = named.select("f1", F.explode("posted").alias("token"))
     alone = _unshared(posted, "f1").groupBy("f1").agg(F.count("*").alias("alone"))
-    least = F.expr("n - (9 * n + 9) div 10 + 1 + n div 10 - coalesce(alone, 0) >= 1 + (9 * n) div 100")
+    least = F.expr(f"n - ({percent} * n + 99) div 100 + 1 + n div 10 - coalesce(alone, 0) >= 1 + ({percent} * n) div 1000")
     survivors = checked(reps.join(alone, "f1", "left").where(least).select(F.col("rep").alias("id")))
 
     # All tokens of the sets that remain; those that no other of them has.
@@ -218,14 +219,14 @@ def classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     sets = materialize(left.mapInArrow(lambda x: _tokens(x, width), "id bigint, n bigint, tokens array<bigint>"), "sets")
     own = materialize(_unshared(sets.select("id", F.explode("tokens").alias("token")), "id"), "unshared").groupBy("id").agg(
         F.collect_list("token").alias("unshared"))
-    near = sets.join(own, "id", "left").withColumn("s", F.col("n") - F.coalesce(F.size("unshared"), F.lit(0))).where("10 * s >= 9 * n")
+    near = sets.join(own, "id", "left").withColumn("s", F.col("n") - F.coalesce(F.size("unshared"), F.lit(0))).where(100 * F.col("s") >= percent * F.col("n"))
     two = materialize(near.select("id", "n", F.col("s").cast("bigint").alias("s"), "tokens", "unshared").mapInArrow(
-        _order_two, "id bigint, n bigint, s bigint, prefix array<bigint>, parity array<bigint>"), "two")
+        lambda x: _order_two(x, percent), "id bigint, n bigint, s bigint, prefix array<bigint>, parity array<bigint>"), "two")
     postings, known = two.select("id", "n", "s", F.explode("prefix").alias("token")), two.select("id", "parity")
 
-    star = _links(_overlaps(_hub_pairs(postings), sets))
+    star = _links(_overlaps(_hub_pairs(postings, percent), sets, percent), percent)
     labelled = postings.join(components(star), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rest = _links(_overlaps(_rest_pairs(materialize(labelled, "labelled"), known), sets))
+    rest = _links(_overlaps(_rest_pairs(materialize(labelled, "labelled"), known, percent), sets, percent), percent)
     final = components(star.union(rest))
 
     of_set = reps.join(final, F.col("rep") == F.col("id"), "left").select("n", "f1", "f2", F.coalesce("component", "rep").alias("component"))
@@ -234,8 +235,8 @@ def classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own_class).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Rows of ``docs`` that are the least id of their class; rows with null ids are kept."""
-    found = classes(docs, width)
+    found = classes(docs, width, percent)
     copies = checked(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct())
     return docs.join(copies, docs["doc_id"].cast("bigint") == copies["_copy"], "left_anti")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkprint.llm import decontaminate, lm_score, mixing, ngram_join, pii, pu_quality, quality_rules, toxicity, url_filter
+from inkprint.llm import decontaminate, licences, lm_score, mixing, ngram_join, pii, pu_quality, quality_rules, toxicity, url_filter
 from inkprint.llm.sql import OP1_SQL, OP6_SQL, OP10_SQL, URL_RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,15 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.classes(table(spark, sf_dir, "documents"))
 
 
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most probable confirmed licence of every document, null where there is none."""
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    sure = F.filter("licences", lambda x: x["confirmed"])
+    best = F.array_max(F.transform(sure, lambda x: F.struct(x["p"].alias("p"), x["family"].alias("family"))))
+    return found.select("doc_id", "n_paragraphs", F.size("licences").cast("bigint").alias("n_predicted"), F.size(sure).cast("bigint").alias("n_confirmed"),
+                        best["family"].alias("licence"), F.round(best["p"], 6).alias("probability"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -63,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op5_lm_score": op5_lm_score,
     "op6_quality_rules": op6_quality_rules,
     "op7_ngram_join": op7_ngram_join,
+    "op8_licence_scan": op8_licence_scan,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_decontamination": op10_decontamination,
 }
