@@ -7,7 +7,7 @@ again by weight (the common level is found from running sums over the sources).
 A target is met by whole repeats of the source and one partial pass. For the partial pass only the
 counts of documents per exact length matter: an equal share of every length is taken first, then long
 documents until at most ``RESERVE`` words (and one document) are open, and the open rest is solved exactly
-by a bounded-knapsack table over the remaining counts. If no subset meets it, the largest sum below it is taken.
+by a bounded-knapsack table over the remaining counts. If no subset meets it, the nearest sum is taken.
 
 Which documents of a length are taken follows from a seeded hash of their id. They are not ranked
 in one place: quotas are handed down through 256 x 256 hash cells, and only inside a cell are documents ranked,
@@ -60,7 +60,7 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 
 
 def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, reserve: int = RESERVE) -> np.ndarray:
-    """How many documents of each size to take so that their words sum to ``budget``, or else come nearest below."""
+    """How many documents of each size to take so that their words sum to ``budget``, or else come nearest."""
     order = np.argsort(-sizes, kind="stable")
     size, count = [int(x) for x in sizes[order]], [int(x) for x in counts[order]]
     total = sum(s * c for s, c in zip(size, count))
@@ -73,19 +73,23 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, reserve: int
         took[k] += more
         left -= more * s
     # Bounded knapsack over the open rest: which sums can be reached, and by which size each was reached first.
-    mask, reached, by = (1 << (left + 1)) - 1, 1, np.full(left + 1, -1, np.int64)
+    most = left + max(size)
+    mask, reached, by = (1 << (most + 1)) - 1, 1, np.full(most + 1, -1, np.int64)
     for k, s in enumerate(size):
         front = reached
-        for _ in range(min(count[k] - took[k], left // s)):
+        for _ in range(min(count[k] - took[k], most // s)):
             front = (front << s) & mask & ~reached
             if not front:
                 break
             reached |= front
-            bits = np.frombuffer(front.to_bytes(left // 8 + 1, "little"), np.uint8)
-            by[np.flatnonzero(np.unpackbits(bits, bitorder="little")[: left + 1])] = k
+            bits = np.frombuffer(front.to_bytes(most // 8 + 1, "little"), np.uint8)
+            by[np.flatnonzero(np.unpackbits(bits, bitorder="little")[: most + 1])] = k
         if reached >> left & 1:
             break
-    at = reached.bit_length() - 1
+    at = (reached & ((1 << (left + 1)) - 1)).bit_length() - 1
+    above = reached >> left
+    if above and (above & -above).bit_length() - 1 < left - at:
+        at = left + (above & -above).bit_length() - 1
     while at:
         took[by[at]] += 1
         at -= size[by[at]]

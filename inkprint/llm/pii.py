@@ -225,6 +225,6 @@ def sanitise(docs: DataFrame) -> DataFrame:
     rows = all_spans(docs, [packed(docs).alias("_row")], keep_text=True)
     text = F.col("_row.`text`")
     put = F.when(F.size("_spans") > 0, _masked(F.coalesce(text, F.lit("")), F.col("_spans"))).otherwise(text)
-    out = unpacked(rows.select("_row", put.alias("_new")), docs.columns, F.col("_new"))
-    changed = {"text": F.col("_new")} | ({"n_chars": F.length("_new").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    out = unpacked(rows.select("_row", put.alias("_new"), (F.size("_spans") > 0).alias("_hit")), docs.columns, F.col("_new"), F.col("_hit"))
+    changed = {"text": F.col("_new")} | ({"n_chars": F.when(F.col("_hit"), F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
     return out.withColumns(changed).select(*[F.col(f"`{c}`") for c in docs.columns])
