@@ -32,21 +32,12 @@ GPT_LABEL = "gpt-4.1"
 DATED_ALIAS = ("openai/gpt-4.1", r"^openai/gpt-4\.1-[0-9]{4}-[0-9]{2}-[0-9]{2}$")
 VERSION_ALIAS = ("deepseek/deepseek-chat", "deepseek/deepseek-chat-v3")
 
-SHORT_NAMES = {
-    "claude-3.5-haiku": "Claude",
-    "deepseek-chat": "DeepSeek",
-    "gemini-2.5-flash-preview-05-20": "Gemini family",
-    "gpt-4.1": "GPT-4.1",
-    "llama-3.3-70b-instruct": "Llama",
-}
-
 # Study settings.
 CLASSIFIERS = ["050", "100"]
 MODES = ["first512", "chunks"]
 DEFAULT_MODE = "first512"
 MAX_CODE_CHARS = 100_000
 MAX_IMPORT_RECORDS = 100
-MAX_STUDY_SAMPLES = 1000
 
 # Texts written into results: resume note, match categories, notes.
 RESUME_NOTE = "Interrupted request; may have been billed. Not automatically repeated."

@@ -196,3 +196,18 @@ def weigh_tokens(weighting):
             )
 
     return run
+
+
+def token_counts(batches):
+    """(row_id, tokens) to (row_id, term, tf), one row per distinct token of a row."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            tokens = part.column("tokens")
+            rows = pc.list_parent_indices(tokens).to_numpy()
+            words = pc.list_flatten(tokens).dictionary_encode()
+            size = max(1, len(words.dictionary))
+            pairs, tf = np.unique(rows.astype(np.int64) * size + words.indices.to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row_id").take(pa.array(pairs // size)), words.dictionary.take(pa.array(pairs % size)), pa.array(tf)],
+                names=["row_id", "term", "tf"])

@@ -26,37 +26,20 @@ from inkprint.session import materialize
 MAX_VOCABULARY = 1_000_000
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread texts over the cores when the input is too small to do so by itself.
-
-    An input of many file splits is already spread, and shuffling its texts would
-    only cost; a few small files would leave most cores idle.
-    """
-    spark = df.sparkSession
-    split = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    fills_cores = size >= split * spark.sparkContext.defaultParallelism
-    return df if fills_cores else df.repartition(key)
-
-
 def char_ngrams(df: DataFrame, text: str = "code", key: str = "row_id",
                 sizes: tuple[int, ...] = K.CHAR_SIZES) -> DataFrame:
     """(row_id, term, tf) of character n-grams; case kept, space runs collapsed."""
     source = df.select(F.col(key).cast("bigint").alias("row_id"),
                        tx.collapse_spaces(F.col(text)).alias("text"))
-    return _spread(source, "row_id").mapInArrow(
+    return source.mapInArrow(
         ngrams.row_counts(sizes), "row_id bigint, term string, tf bigint"
     )
 
 
 def word_tokens(df: DataFrame, text: str = "code", key: str = "row_id") -> DataFrame:
-    """(row_id, term, tf) of lower-cased words."""
-    source = df.select(F.col(key).alias("row_id"), F.col(text).alias("text")).repartition("row_id")
-    tokens = source.select("row_id", F.explode(tx.words(F.col("text"))).alias("term"))
-    # The texts are shuffled by row_id so that their tokens, several times the
-    # size, need not be: this grouping finds its rows in place.
-    return tokens.groupBy("row_id", "term").agg(F.count("*").alias("tf"))
+    """(row_id, term, tf) of lower-cased words, counted in the row; neither texts nor tokens are shuffled."""
+    source = df.select(F.col(key).cast("bigint").alias("row_id"), tx.words(F.col(text)).alias("tokens"))
+    return source.mapInArrow(ngrams.token_counts, "row_id bigint, term string, tf bigint")
 
 
 def sublinear(tf: Column) -> Column:
@@ -73,7 +56,7 @@ def corpus_frequency(df: DataFrame, analyzer: str, text: str = "code", key: str
 
     The only shuffle that grows is that of terms already summed per task.
     """
-    source = _spread(df.select(F.col(key).alias("row_id"), F.col(text).alias("text")), "row_id")
+    source = df.select(F.col(text).alias("text"))
     if analyzer == "char":
         partial = source.select(tx.collapse_spaces(F.col("text"))).mapInArrow(
             ngrams.corpus_counts(sizes), "term string, cf bigint, df bigint"
@@ -93,9 +76,41 @@ def corpus_frequency(df: DataFrame, analyzer: str, text: str = "code", key: str
     return partial.groupBy("term").agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
 
 
+def _frequency_cell(cf: Column) -> Column:
+    """Least value of the log-linear cell of ``cf``: sixteen cells per power of two."""
+    scale = F.pow(F.lit(2), F.greatest(F.length(F.bin(cf)) - 5, F.lit(0)))
+    return (F.floor(cf / scale) * scale).cast("bigint")
+
+
+def _boundary(counts: DataFrame, key: str, left: int) -> tuple[int | str | None, int]:
+    """First value of ``key``, in the order of the rows, at which the running count passes ``left``, and the rest."""
+    for row in counts.toLocalIterator():
+        if row.n > left:
+            return row[key], left
+        left -= row.n
+    return None, left
+
+
 def top_terms(frequencies: DataFrame, max_features: int) -> DataFrame:
-    """The most frequent terms; equal frequencies fall back to term order."""
-    return frequencies.orderBy(F.col("cf").desc(), "term").limit(max_features)
+    """The most frequent terms; equal frequencies fall back to term order.
+
+    No task ranks terms: a histogram of frequencies gives the lowest frequency that still enters, and the terms
+    tied at it are cut by a histogram of their characters, one place at a time.
+    """
+    terms = materialize(frequencies, "terms")
+    cells = terms.groupBy(_frequency_cell(F.col("cf")).alias("cell")).agg(F.count("*").alias("n")).orderBy(F.desc("cell"))
+    cell, left = _boundary(cells, "cell", max_features)
+    if cell is None:
+        return terms
+    inside = terms.where(_frequency_cell(F.col("cf")) == cell)
+    least, left = _boundary(inside.groupBy("cf").agg(F.count("*").alias("n")).orderBy(F.desc("cf")), "cf", left)
+    prefix, tied = "", terms.where(F.col("cf") == least)
+    while left:
+        at = F.substring("term", len(prefix) + 1, 1)
+        level = tied.where(F.col("term").startswith(prefix)).groupBy(at.alias("at")).agg(F.count("*").alias("n")).orderBy("at")
+        char, left = _boundary(level, "at", left)
+        prefix += char
+    return terms.where((F.col("cf") > least) | ((F.col("cf") == least) & (F.col("term") < prefix)))
 
 
 def vocabulary_difference(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -138,7 +153,7 @@ class TfidfModel:
         return self._table
 
     def transform(self, df: DataFrame, text: str | None = "code", key: str = "row_id",
-                  carry: list[str] = (), tokens: str | None = None, spread: bool = True) -> DataFrame:
+                  carry: list[str] = (), tokens: str | None = None) -> DataFrame:
         """L2-normalised TF-IDF in sparse form; a text without known terms stays, empty.
 
         A word model can read a ready ``tokens`` array column instead of a text.
@@ -155,9 +170,6 @@ class TfidfModel:
             source = tx.words(F.col(text)) if tokens is None else F.col(tokens)
         kept = list(dict.fromkeys([key, *carry]))
         needed = df.select(*dict.fromkeys([*kept, tokens or text]))
-        # The texts are spread before tokens are cut, so the shuffle moves text only.
-        if spread:
-            needed = _spread(needed, key)
         schema = T.StructType(
             [df.schema[c] for c in kept]
             + [T.StructField("indices", T.ArrayType(T.IntegerType())),

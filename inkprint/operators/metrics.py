@@ -85,13 +85,18 @@ def class_report(predictions: DataFrame, by: list[str] = (),
     return report_from_counts(pair_counts(predictions, by), by, labels).drop("tp")
 
 
-def _summary(report: DataFrame, by: list[str]) -> DataFrame:
+def _summary(report: DataFrame, by: list[str], counts: DataFrame) -> DataFrame:
+    """n and accuracy over all counted pairs, macro and weighted scores over the classes of the report."""
+    hits = F.when(F.col("true") == F.col("predicted"), F.col("n")).otherwise(0)
+    totals = counts.groupBy(*by).agg(F.sum("n").alias("n"), F.sum(hits).alias("hits"))
+    both = report.unionByName(totals, allowMissingColumns=True)
     support = F.col("support")
     weighted = [_ratio(F.sum(F.col(c) * support), F.sum(support)).alias(f"weighted_{c}")
                 for c in ("precision", "recall", "f1")]
-    return report.groupBy(*by).agg(
-        F.sum(support).alias("n"),
-        F.when(F.sum(support) > 0, F.sum("tp") / F.sum(support)).alias("accuracy"),
+    n = F.coalesce(F.sum("n"), F.sum(support))
+    return both.groupBy(*by).agg(
+        n.alias("n"),
+        F.when(n > 0, F.sum("hits") / n).alias("accuracy"),
         *[F.avg(c).alias(f"macro_{c}") for c in ("precision", "recall", "f1")],
         *weighted,
     )
@@ -100,7 +105,7 @@ def _summary(report: DataFrame, by: list[str]) -> DataFrame:
 def metrics_from_counts(counts: DataFrame, by: list[str] = (),
                         labels: list[str] | None = None) -> DataFrame:
     """Accuracy, macro and weighted scores; accuracy of no rows is null."""
-    return _summary(report_from_counts(counts, by, labels), by)
+    return _summary(report_from_counts(counts, by, labels), by, counts)
 
 
 def model_metrics(predictions: DataFrame, by: list[str] = (),
@@ -115,7 +120,7 @@ def full_report_from_counts(counts: DataFrame, by: list[str] = (),
     The accuracy row repeats its value in every column, as saved reports do.
     """
     report = report_from_counts(counts, by, labels)
-    s = _summary(report, by)
+    s = _summary(report, by, counts)
     n = F.col("n").cast("double")
 
     def row(name, precision, recall, f1, support):

@@ -53,21 +53,23 @@ def top_scores(long: DataFrame, keys: list[str]) -> DataFrame:
 def score_differences(saved: DataFrame, local: DataFrame, keys: list[str]) -> DataFrame:
     """Saved against recomputed scores, aligned by label, one row per key.
 
-    Input: (keys, label, score) on both sides.
+    Input: (keys, label, score) on both sides. A label that one side lacks is
+    counted in ``missing_labels`` and has no difference.
     """
     a = saved.select(*keys, "label", F.col("score").alias("saved"))
     b = local.select(*keys, "label", F.col("score").alias("local"))
-    packed = a.join(b, [*keys, "label"]).groupBy(*keys).agg(
+    packed = a.join(b, [*keys, "label"], "full").groupBy(*keys).agg(
         F.collect_list(F.struct("label", "saved", "local")).alias("s")
     )
 
     def best(side: str) -> Column:
-        scores = F.transform("s", lambda x: F.struct(x.label.alias("label"), x[side].alias("score")))
+        scores = F.transform(F.filter("s", lambda x: x[side].isNotNull()), lambda x: F.struct(x.label.alias("label"), x[side].alias("score")))
         return F.get(ranked(scores), F.lit(0)).label
 
     return packed.select(
         *keys, best("saved").alias("saved_label"), best("local").alias("local_label"),
         F.array_max(F.transform("s", lambda x: F.abs(x.saved - x.local))).alias("max_score_difference"),
+        F.size(F.filter("s", lambda x: x.saved.isNull() | x.local.isNull())).cast("bigint").alias("missing_labels"),
     )
 
 
@@ -76,4 +78,5 @@ def verification_summary(differences: DataFrame) -> DataFrame:
         F.count("*").alias("rows"),
         F.count_if(F.col("saved_label") != F.col("local_label")).alias("label_disagreements"),
         F.max("max_score_difference").alias("maximum_score_difference"),
+        F.sum("missing_labels").alias("missing_labels"),
     )

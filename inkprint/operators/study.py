@@ -94,13 +94,18 @@ CONDITION = ["analysis_mode", "classifier", "comments_removed"]
 
 def study_conditions(analyses: DataFrame, labels: list[str] = K.LABELS,
                      mapping: dict[str, str] = K.GENERATOR_LABELS, newer: str = K.NEWER_GEMINI,
-                     gpt: str = K.GPT_LABEL) -> DataFrame:
-    """Match counts per condition; the newer Gemini id counts apart from comparable ids."""
-    good = F.col("good")
+                     gpt: str = K.GPT_LABEL, classifiers: list[str] = K.CLASSIFIERS) -> DataFrame:
+    """Match counts per condition; the newer Gemini id counts apart from comparable ids.
+
+    Conditions are all classifiers and comment settings in the modes that occur; those without analyses count 0.
+    """
+    good = F.coalesce("good", F.lit(False))
+    judged = _judged(analyses, labels, mapping, newer)
+    judged = judged.unionByName(_blank(judged.select("analysis_mode").distinct(), classifiers), allowMissingColumns=True)
     comparable = good & F.col("expected").isNotNull() & ~F.col("is_newer")
-    return _judged(analyses, labels, mapping, newer).groupBy(*CONDITION).agg(
+    return judged.groupBy(*CONDITION).agg(
         F.count_if(good).alias("n"),
-        F.count_if(~good).alias("errors"),
+        F.count_if(~F.col("good")).alias("errors"),
         F.count_if(comparable).alias("id_n"),
         F.count_if(comparable & F.col("matches")).alias("id_matches"),
         F.count_if(good & F.col("is_newer")).alias("gemini_n"),
@@ -110,18 +115,29 @@ def study_conditions(analyses: DataFrame, labels: list[str] = K.LABELS,
     )
 
 
-def study_breakdown(analyses: DataFrame, column: str, labels: list[str] = K.LABELS,
+def _blank(names: DataFrame, classifiers: list[str]) -> DataFrame:
+    """``names`` with every classifier and comment setting."""
+    return names.withColumn("classifier", F.explode(F.array(*[F.lit(c) for c in classifiers]))).withColumn(
+        "comments_removed", F.explode(F.array(F.lit(False), F.lit(True)))
+    )
+
+
+def study_breakdown(analyses: DataFrame, column: str, samples: DataFrame, labels: list[str] = K.LABELS,
                     mapping: dict[str, str] = K.GENERATOR_LABELS, newer: str = K.NEWER_GEMINI,
                     classifiers: list[str] = K.CLASSIFIERS, modes: list[str] = K.MODES) -> DataFrame:
-    """n and matches per condition and value of ``column``; empty groups count 0."""
+    """n and matches per condition and value of ``column``.
+
+    Values come from all samples and modes from the analyses, so a value whose generations all failed counts 0.
+    """
     judged = _judged(analyses, labels, mapping, newer)
     counts = judged.groupBy(*CONDITION, column).agg(
         F.count_if("good").alias("n"), F.count_if(F.col("good") & F.col("matches")).alias("matches")
     )
     zero = F.lit(0).cast("bigint")
-    names = counts.groupBy(column).agg(zero.alias("n"), zero.alias("matches"))
+    names = samples.groupBy(column).agg(zero.alias("n"), zero.alias("matches"))
+    blank = with_cells(names, classifiers, modes).join(judged.select("analysis_mode").distinct(), "analysis_mode", "left_semi")
     return (
-        counts.unionByName(with_cells(names, classifiers, modes))
+        counts.unionByName(blank)
         .groupBy(*CONDITION, column).agg(F.sum("n").alias("n"), F.sum("matches").alias("matches"))
     )
 

@@ -53,14 +53,21 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def join_one_to_one(left: DataFrame, right: DataFrame, keys: list[str],
                     validate: bool = True) -> DataFrame:
-    """Inner equi-join that refuses duplicate keys on either side.
+    """Inner equi-join that refuses keys that are not there exactly once on both sides.
 
-    The check is a pass over the keys alone, so texts are not shuffled for it.
+    The check is one pass over the keys alone, so texts are not shuffled for it.
     """
     if validate:
-        for side, df in (("left", left), ("right", right)):
-            if not duplicate_keys(df, keys).isEmpty():
+        sides = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+            right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r")))
+        seen = sides.groupBy(*keys).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+        bad = seen.agg(*[F.coalesce(F.sum((F.col(c) > 1).cast("int")), F.lit(0)).alias(f"twice_{c}") for c in "lr"],
+                       *[F.coalesce(F.sum((F.col(c) == 0).cast("int")), F.lit(0)).alias(f"missing_{c}") for c in "lr"]).first()
+        for side, c in (("left", "l"), ("right", "r")):
+            if bad[f"twice_{c}"]:
                 raise ValueError(f"keys {keys} are not unique on the {side} side")
+            if bad[f"missing_{c}"]:
+                raise ValueError(f"{bad[f'missing_{c}']} keys {keys} are missing on the {side} side")
     return left.join(right, keys, "inner")
 
 

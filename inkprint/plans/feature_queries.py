@@ -292,7 +292,7 @@ def padding_stats(spark, sf):
 
 
 _SCORED_WINDOWS = [
-    ("toks", f"SELECT row_id, label, split, regexp_extract_all(lower(code), '[{WORD}]+|[^{WORD}{WS}]') AS toks FROM split_programs WHERE split = 'test'"),
+    ("toks", f"SELECT row_id, label, split, regexp_extract_all(lower(code), '[{WORD}]+|[^{WORD}{WS}]') AS toks FROM split_programs"),
     ("wins", f"""SELECT row_id, chunk, start_at, end_at, list_slice(toks, start_at + 1, end_at) AS kept FROM (
         SELECT *, CAST(i + 1 AS INTEGER) AS chunk, CAST(i * {_STEP} AS INTEGER) AS start_at, CAST(least(i * {_STEP} + {_CAP}, len(toks)) AS INTEGER) AS end_at FROM (
           SELECT *, unnest(generate_series(0, CAST(greatest(1, ceil((len(toks) - {K.WINDOW_OVERLAP}) / {_STEP}.0)) AS BIGINT) - 1)) AS i FROM toks))"""),
@@ -311,11 +311,9 @@ _SCORED_WINDOWS = [
 def _scored_windows(spark, sf):
     model = _word_model(spark, sf)
     nb = _fit_nb(spark, sf, model)
-    test = fx.split_programs(spark, sf).where("split = 'test'")
-    # Cut after the shuffle that spreads the texts, so windows are made in place.
-    tokens = test.repartition("row_id").select("row_id", tx.pieces(F.lower("code")).alias("tokens"))
+    tokens = fx.programs(spark, sf).select("row_id", tx.pieces(F.lower("code")).alias("tokens"))
     w = windows.chunk_windows(tokens, ["row_id"], prefix=_PREFIX, special=_SPECIAL)
-    f = model.transform(w, text=None, tokens="window", spread=False, carry=["chunk", "start", "end", "model_tokens"])
+    f = model.transform(w, text=None, tokens="window", carry=["chunk", "start", "end", "model_tokens"])
     return linear.predict(f, nb).withColumn("scores", linear.softmax(F.col("scores")))
 
 

@@ -24,12 +24,20 @@ ABLATION_CONDITIONS = ["original", "comments_removed", "limited_features"]
 ABLATION_MODELS = ["m0", "m1", "m2", "m3"]
 
 
+#: Session setting: partitions that texts are dealt to after the scan, for a table that is one small file.
+#: Unset, as on a cluster, texts stay in the partitions of the scan.
+SPREAD = "spark.inkprint.textPartitions"
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def programs(spark: SparkSession, sf: str) -> DataFrame:
     d = table(spark, sf, "documents")
+    parts = spark.conf.get(SPREAD, None)
+    if parts:
+        d = d.repartition(int(parts), "doc_id")
     plain = F.col("doc_id") % 40 == 0
     code = F.concat(
         F.when(plain, "").otherwise(F.concat(F.lit("// file "), "source", F.lit("\n"))),

@@ -269,13 +269,14 @@ def pool_chunks(spark, sf):
 
 @query("verify_scores", with_parts(["long_scores"], """
   SELECT count(*) AS rows, count_if(saved_label <> local_label) AS label_disagreements,
-    round(max(d), 6) AS maximum_score_difference FROM (
-    SELECT row_id, max(abs(score - moved)) AS d,
-      first(label ORDER BY score DESC, label) AS saved_label, first(label ORDER BY moved DESC, label) AS local_label
-    FROM (SELECT *, CASE WHEN label = 'en' AND row_id % 10 = 0 THEN score + 0.05 ELSE score END AS moved FROM long_scores)
+    round(max(d), 6) AS maximum_score_difference, CAST(sum(missing) AS BIGINT) AS missing_labels FROM (
+    SELECT row_id, max(abs(score - moved)) AS d, count_if(moved IS NULL) AS missing,
+      first(label ORDER BY score DESC, label) AS saved_label, first(label ORDER BY moved DESC NULLS LAST, label) AS local_label
+    FROM (SELECT *, CASE WHEN label = 'fr' AND row_id % 50 = 7 THEN NULL WHEN label = 'en' AND row_id % 10 = 0 THEN score + 0.05
+        ELSE score END AS moved FROM long_scores)
     GROUP BY row_id)"""))
 def verify_scores(spark, sf):
     saved = scores.to_long(fx.wide_scores(spark, sf), fx.LANGS, ["row_id"])
     moved = F.when((F.col("label") == "en") & (F.col("row_id") % 10 == 0), F.col("score") + 0.05).otherwise(F.col("score"))
-    local = saved.withColumn("score", moved)
+    local = saved.withColumn("score", moved).where("not (label = 'fr' and row_id % 50 = 7)")
     return rounded(scores.verification_summary(scores.score_differences(saved, local, ["row_id"])), "maximum_score_difference")

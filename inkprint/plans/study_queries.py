@@ -7,22 +7,22 @@ from pyspark.sql import functions as F
 from inkprint import constants as K
 from inkprint.functions import text as tx
 from inkprint.functions.scorer import batch_scorer, labelled
-from inkprint.operators import scores, study
+from inkprint.operators import scores, study, windows
 from inkprint.operators.encode import generator_label
 from inkprint.operators.linear import top_label
 from inkprint.plans import fixtures as fx
 from inkprint.plans.registry import query, r6, rounded
-from inkprint.plans.sql import lst, mapping, quoted, with_parts
+from inkprint.plans.sql import WORD, WS, lst, mapping, quoted, with_parts
 from inkprint.session import fresh_path
 from inkprint.sources import study_json
 from inkprint.streaming.incremental import append_missing, score_stream
 
-_GRID_MODELS = list(K.GENERATOR_LABELS)[:4]
+_GRID_MODELS = list(K.GENERATOR_LABELS)
 
 
 @query("study_grid", f"""
   SELECT doc_id AS prompt_index, source AS task, CAST(repetition AS INTEGER) AS repetition, model,
-    'p' || (doc_id + 1) || '_r' || repetition || '_' || (doc_id * 8 + (repetition - 1) * 4 + m + 1) AS sample,
+    'p' || (doc_id + 1) || '_r' || repetition || '_' || (doc_id * {2 * len(_GRID_MODELS)} + (repetition - 1) * {len(_GRID_MODELS)} + m + 1) AS sample,
     'pending' AS generation_status
   FROM documents, (VALUES (1), (2)) r(repetition),
     (VALUES {', '.join(f"({i}, '{m}')" for i, m in enumerate(_GRID_MODELS))}) x(m, model)""")
@@ -57,37 +57,52 @@ def resume_status(spark, sf):
                           study.study_status(saved, F.col("row_id") % 3 == 0).alias("status"))
 
 
+_CELLS_SQL = """(VALUES ('050'), ('100')) c(classifier), (VALUES (false), (true)) r(comments_removed),
+    (SELECT DISTINCT analysis_mode FROM judged) m"""
+
+
 @query("study_conditions", with_parts(["judged"], f"""
-  SELECT analysis_mode, classifier, comments_removed, count_if(good) AS n, count_if(NOT good) AS errors,
-    count_if(good AND expected IS NOT NULL AND NOT is_newer) AS id_n,
-    count_if(good AND expected IS NOT NULL AND NOT is_newer AND matches) AS id_matches,
-    count_if(good AND is_newer) AS gemini_n, count_if(good AND is_newer AND matches) AS gemini_matches,
-    count_if(good AND predicted_label = '{K.GPT_LABEL}') AS gpt_predictions,
-    count_if(good AND coalesce(truncated, false)) AS truncated
-  FROM judged GROUP BY ALL"""))
+  SELECT m.analysis_mode, c.classifier, r.comments_removed, coalesce(count_if(good), 0) AS n, coalesce(count_if(NOT good), 0) AS errors,
+    coalesce(count_if(good AND expected IS NOT NULL AND NOT is_newer), 0) AS id_n,
+    coalesce(count_if(good AND expected IS NOT NULL AND NOT is_newer AND matches), 0) AS id_matches,
+    coalesce(count_if(good AND is_newer), 0) AS gemini_n, coalesce(count_if(good AND is_newer AND matches), 0) AS gemini_matches,
+    coalesce(count_if(good AND predicted_label = '{K.GPT_LABEL}'), 0) AS gpt_predictions,
+    coalesce(count_if(good AND coalesce(truncated, false)), 0) AS truncated
+  FROM {_CELLS_SQL} LEFT JOIN (SELECT * FROM judged WHERE NOT (classifier = '050' AND comments_removed)) j
+    ON j.analysis_mode = m.analysis_mode AND j.classifier = c.classifier AND j.comments_removed = r.comments_removed
+  GROUP BY ALL"""))
 def study_conditions(spark, sf):
-    return study.study_conditions(fx.analyses(spark, sf))
+    """One condition has no analyses at all; it is listed with zeros."""
+    return study.study_conditions(fx.analyses(spark, sf).where("not (classifier = '050' and comments_removed)"))
+
+
+#: A task and a generator whose generations all failed: they have samples and no analyses.
+_FAILED = {"task": fx.TASKS[0], "model": fx.STUDY_MODELS[1]}
 
 
 def _breakdown_sql(column: str) -> str:
-    return with_parts(["judged"], f"""
+    return with_parts(["judged", "samples"], f"""
       SELECT m.analysis_mode, c.classifier, r.comments_removed, g.{column},
-        (SELECT count(*) FROM judged j WHERE good AND j.analysis_mode = m.analysis_mode AND j.classifier = c.classifier
-          AND j.comments_removed = r.comments_removed AND j.{column} = g.{column}) AS n,
-        (SELECT count(*) FROM judged j WHERE good AND matches AND j.analysis_mode = m.analysis_mode AND j.classifier = c.classifier
-          AND j.comments_removed = r.comments_removed AND j.{column} = g.{column}) AS matches
-      FROM (SELECT DISTINCT {column} FROM judged) g, (VALUES ('050'), ('100')) c(classifier),
-        (VALUES (false), (true)) r(comments_removed), (VALUES ('first512'), ('chunks')) m(analysis_mode)""")
+        coalesce(count_if(j.good), 0) AS n, coalesce(count_if(j.good AND j.matches), 0) AS matches
+      FROM (SELECT DISTINCT {column} FROM samples) g, {_CELLS_SQL}
+      LEFT JOIN (SELECT * FROM judged WHERE {column} NOT IN ('{_FAILED["task"]}', '{_FAILED["model"]}')) j
+        ON j.analysis_mode = m.analysis_mode AND j.classifier = c.classifier AND j.comments_removed = r.comments_removed
+          AND j.{column} = g.{column} GROUP BY ALL""")
+
+
+def _breakdown(spark, sf, column):
+    analyses = fx.analyses(spark, sf)
+    return study.study_breakdown(analyses.where(F.col(column) != _FAILED[column]), column, fx.samples(spark, sf))
 
 
 @query("study_by_model", _breakdown_sql("model"))
 def study_by_model(spark, sf):
-    return study.study_breakdown(fx.analyses(spark, sf), "model")
+    return _breakdown(spark, sf, "model")
 
 
 @query("study_by_task", _breakdown_sql("task"))
 def study_by_task(spark, sf):
-    return study.study_breakdown(fx.analyses(spark, sf), "task")
+    return _breakdown(spark, sf, "task")
 
 
 @query("study_progress", with_parts(["samples", "analyses"], """
@@ -115,11 +130,11 @@ def paired_modes(spark, sf):
 
 @query("coverage_matrix", with_parts(["judged"], """
   SELECT analysis_mode, classifier, comments_removed, count_if(chunk_count > 1) AS multichunk, """ + ", ".join(
-    f"count_if(model = '{m}' AND predicted_label = split_part(model, '/', 2)) AS \"{m}\"" for m in list(K.GENERATOR_LABELS)[:2])
+    f"count_if(model = '{m}' AND predicted_label = split_part(model, '/', 2)) AS \"{m}\"" for m in _GRID_MODELS)
     + " FROM judged WHERE good GROUP BY ALL"))
 def coverage_matrix(spark, sf):
     a = fx.analyses(spark, sf).where("error is null").withColumn("analysis_mode", study.mode_or_default(F.col("analysis_mode")))
-    return study.coverage_matrix(a, list(K.GENERATOR_LABELS)[:2])
+    return study.coverage_matrix(a, _GRID_MODELS)
 
 
 def _records(spark, sf):
@@ -182,14 +197,11 @@ def study_flatten(spark, sf):
 
 
 @query("import_validate", with_parts(["samples"], f"""
-  SELECT batch, CAST(CASE WHEN k > {K.MAX_IMPORT_RECORDS} THEN 0 ELSE rn - 1 END AS INTEGER) AS position,
-    CASE WHEN k <= {K.MAX_IMPORT_RECORDS} THEN requested_model END AS requested_model,
-    CASE WHEN k <= {K.MAX_IMPORT_RECORDS} THEN length(code) END AS code_chars,
+  SELECT batch, CAST(rn - 1 AS INTEGER) AS position, requested_model, length(code) AS code_chars,
     CASE WHEN k > {K.MAX_IMPORT_RECORDS} THEN 'record count' WHEN length(code) > {K.MAX_CODE_CHARS} THEN 'code too long' END AS problem
   FROM (SELECT batch, model AS requested_model, CASE WHEN row_id % 23 = 0 THEN repeat(code, 40) ELSE code END AS code,
       row_number() OVER (PARTITION BY batch ORDER BY row_id) AS rn, count(*) OVER (PARTITION BY batch) AS k
-    FROM (SELECT *, row_id // CASE WHEN row_id % 300 < 120 THEN 300 ELSE 40 END * 2 + CASE WHEN row_id % 300 < 120 THEN 1 ELSE 0 END AS batch FROM samples))
-  WHERE k <= {K.MAX_IMPORT_RECORDS} OR rn = 1"""))
+    FROM (SELECT *, row_id // CASE WHEN row_id % 300 < 120 THEN 300 ELSE 40 END * 2 + CASE WHEN row_id % 300 < 120 THEN 1 ELSE 0 END AS batch FROM samples))"""))
 def import_validate(spark, sf):
     i = F.col("row_id")
     big = i % 300 < 120
@@ -220,6 +232,8 @@ def _load_marks():
     marks = ["ch", "th", "os", "ou"]
 
     def score(texts):
+        if any("/x/fr" in t for t in texts):
+            raise LookupError("no scores for this text")
         counts = np.array([[t.count(m) for m in marks] for t in texts], dtype=float) + 1
         return counts / counts.sum(axis=1, keepdims=True)
 
@@ -231,21 +245,25 @@ _MARK_SQL = ", ".join(
     f"{c} / ({' + '.join(_MARK_COUNTS)}) AS {x}" for x, c in zip(_MARKS, _MARK_COUNTS))
 
 
-@query("batch_score_udf", with_parts(["programs"], f"""
-  SELECT row_id, {r6(*_MARKS)} FROM (SELECT row_id, {_MARK_SQL} FROM programs)"""))
+@query("batch_score_udf", with_parts(["programs"], "SELECT row_id, CASE WHEN bad THEN 'LookupError' END AS error, "
+  + ", ".join(f"CASE WHEN NOT bad THEN round({x}, 6) END AS {x}" for x in _MARKS)
+  + f" FROM (SELECT row_id, contains(code, '/x/fr') AS bad, {_MARK_SQL} FROM programs)"))
 def batch_score_udf(spark, sf):
+    """The scorer throws on some texts; those rows carry the error."""
     scored = fx.programs(spark, sf).withColumn("s", batch_scorer(_load_marks)(F.col("code")))
-    return scored.select("row_id", *[F.round(F.get("s", F.lit(k)), 6).alias(x) for k, x in enumerate(_MARKS)])
+    return scored.select("row_id", "s.error", *[F.round(F.get("s.scores", F.lit(k)), 6).alias(x) for k, x in enumerate(_MARKS)])
 
 
 def _mark_scorer(cells):
     """Native scorer of study cells: text per comment setting and coverage, errors as rows."""
     code = F.when(F.col("comments_removed"), tx.strip_comments(F.col("code"))).otherwise(F.col("code"))
-    text = F.when(F.col("analysis_mode") == "first512", F.substring(code, 1, 2048)).otherwise(code)
+    pieces = cells.withColumn("tokens", tx.pieces(code))
+    cut = windows.truncate_first(pieces.withColumn("kept", F.col("tokens")), "kept")
+    text = F.array_join(F.when(F.col("analysis_mode") == "first512", F.col("kept")).otherwise(F.col("tokens")), " ")
     marks = [F.struct(F.lit(x).alias("label"), (F.length("text") - F.length(F.replace("text", F.lit(m), F.lit("")))).alias("score"))
              for x, m in _MARKS.items()]
     failed = F.col("model") == fx.UNKNOWN_MODEL
-    return cells.withColumn("text", text).select(
+    return cut.withColumn("text", text).select(
         *study.CELL, F.when(~failed, top_label(F.array(*marks))).alias("predicted_label"),
         F.when(failed, "unsupported model").alias("error"),
     )
@@ -256,7 +274,9 @@ _SCORED = with_parts(["stripped", "cells"], """
     CASE WHEN model <> 'vendor/unlisted-model' THEN list_extract(['de', 'en', 'es', 'fr'], list_position(counts, list_max(counts))) END AS predicted_label,
     CASE WHEN model = 'vendor/unlisted-model' THEN 'unsupported model' END AS error
   FROM (SELECT *, [""" + ", ".join(f"length(t) - length(replace(t, '{m}', ''))" for m in _MARKS.values()) + """] AS counts
-    FROM (SELECT c.* EXCLUDE (code), CASE WHEN analysis_mode = 'first512' THEN substr(src, 1, 2048) ELSE src END AS t
+    FROM (SELECT c.* EXCLUDE (code), array_to_string(CASE WHEN analysis_mode = 'first512'
+          THEN list_slice(regexp_extract_all(src, '""" + f"[{WORD}]+|[^{WORD}{WS}]" + """'), 1, 509)
+          ELSE regexp_extract_all(src, '""" + f"[{WORD}]+|[^{WORD}{WS}]" + """') END, ' ') AS t
       FROM (SELECT c.*, CASE WHEN comments_removed THEN stripped_code ELSE s.code END AS src
         FROM cells c JOIN stripped s USING (row_id)) c))""")
 
@@ -267,7 +287,7 @@ def incremental_scoring(spark, sf):
     twice, and only missing cells are added."""
     samples, results = fx.samples(spark, sf), fresh_path(spark, "scored")
     inbox, checkpoint = fresh_path(spark, "inbox"), fresh_path(spark, "progress")
-    append_missing(samples.where("row_id % 2 = 0"), _mark_scorer, results, "first")
+    append_missing(samples.where("row_id % 2 = 0"), _mark_scorer, results, "first", ["row_id"])
     samples.write.parquet(inbox)
     stream = spark.readStream.schema(samples.schema).parquet(inbox)
     score_stream(stream, _mark_scorer, results, checkpoint, run="a")

@@ -82,13 +82,14 @@ def import_records(df: DataFrame, column: str = "value", keep: list[str] = (),
                    max_records: int = K.MAX_IMPORT_RECORDS, max_chars: int = K.MAX_CODE_CHARS) -> DataFrame:
     """Uploaded JSON arrays to records with only the allowed fields.
 
-    ``problem`` is null for a good record. A payload that is no array, or holds
-    none or too many records, gives one row with its problem.
+    ``problem`` is null for a good record. A payload that is no array or holds no
+    records gives one row with its problem; one with too many records keeps all of
+    them, each marked ``record count``.
     """
     parsed = df.select(*keep, F.from_json(column, IMPORT_SCHEMA).alias("records"))
     size = F.coalesce(F.size("records"), F.lit(0))
     payload_problem = F.when((size < 1) | (size > max_records), F.lit("record count"))
-    records = F.when(payload_problem.isNull(), F.col("records")).otherwise(
+    records = F.when(size >= 1, F.col("records")).otherwise(
         F.array(F.lit(None).cast(IMPORT_SCHEMA.elementType))
     )
     rows = parsed.select(*keep, payload_problem.alias("payload_problem"), F.posexplode(records).alias("position", "r"))

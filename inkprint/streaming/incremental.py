@@ -17,11 +17,14 @@ from inkprint.session import path_exists
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def append_missing(samples: DataFrame, scorer: Scorer, path: str, batch: str) -> None:
-    """Score the cells of completed samples that no other batch has scored."""
+def append_missing(samples: DataFrame, scorer: Scorer, path: str, batch: str, version: list[str] = ()) -> None:
+    """Score the cells of completed samples that no other batch has scored.
+
+    Of a sample delivered several times in one batch the greatest by ``version``, then by all its columns, counts.
+    """
     spark = samples.sparkSession
-    # A sample delivered twice in one batch is still one sample.
-    completed = samples.where("generation_status = 'completed'").dropDuplicates(["sample"])
+    completed = samples.where("generation_status = 'completed'").groupBy("sample").agg(
+        F.max_by(F.struct(*samples.columns), F.struct(*version, *samples.columns)).alias("s")).select("s.*")
     if path_exists(spark, path):
         done = spark.read.parquet(path).where(f"batch <> '{batch}'").select(*CELL)
         # Cells are matched by key alone; each text is joined once to its missing

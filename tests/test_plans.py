@@ -1,6 +1,5 @@
 """The physical plans that large inputs depend on."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from inkprint.operators import features as ft, linear, splits, validate
@@ -13,15 +12,6 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture
-def large_input(spark):
-    """Make the small files look like an input of very many splits."""
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
-    yield
-    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-
-
 def test_label_filter_and_columns_reach_the_scan(spark):
     text = plan(catalog.QUERIES["filter_labels"](spark, SF))
     assert "In(lang, [de,fr])" in text
@@ -38,7 +28,7 @@ def test_split_compares_rows_with_cuts_without_moving_them(spark):
     assert "Exchange" not in main and "Window" not in main
 
 
-def test_large_texts_are_never_shuffled_for_features(spark, large_input):
+def test_large_texts_are_never_shuffled_for_features(spark):
     p = fx.programs(spark, SF)
     model = ft.fit_tfidf(p, "word", max_features=50)
     assert "Exchange" not in plan(model.transform(p, carry=["label"]))
@@ -47,7 +37,7 @@ def test_large_texts_are_never_shuffled_for_features(spark, large_input):
         assert counted.count("Exchange") == 1 and "Exchange hashpartitioning(term" in counted
 
 
-def test_scoring_adds_no_shuffle(spark, large_input):
+def test_scoring_adds_no_shuffle(spark):
     p = fx.programs(spark, SF)
     model = ft.fit_tfidf(p, "word", max_features=50)
     f = model.transform(p, carry=["label"])
@@ -55,9 +45,13 @@ def test_scoring_adds_no_shuffle(spark, large_input):
     assert "Exchange" not in plan(linear.predict(f, nb))
 
 
-def test_word_counts_shuffle_texts_not_tokens(spark):
-    counted = plan(ft.word_tokens(fx.programs(spark, SF)))
-    assert counted.count("Exchange") == 1 and "REPARTITION_BY_COL" in counted
+def test_word_counts_shuffle_nothing(spark):
+    assert "Exchange" not in plan(ft.word_tokens(fx.programs(spark, SF)))
+
+
+def test_no_task_ranks_the_vocabulary(spark):
+    top = plan(ft.top_terms(ft.corpus_frequency(fx.programs(spark, SF), "word"), 100))
+    assert "TakeOrderedAndProject" not in top and "SinglePartition" not in top
 
 
 def test_no_cartesian_products(spark):

@@ -63,5 +63,30 @@ def test_user_scorer_is_loaded_in_the_worker(spark):
         return score
 
     rows = spark.createDataFrame([("ab",), ("c",)], ["code"])
-    got = rows.withColumn("s", batch_scorer(load)(F.col("code"))).select(labelled(F.col("s"), ["n", "one"]).alias("s")).collect()
+    got = rows.withColumn("s", batch_scorer(load)(F.col("code"))).select(labelled(F.col("s.scores"), ["n", "one"]).alias("s")).collect()
     assert [[(x.label, x.score) for x in r.s] for r in got] == [[("n", 2.0), ("one", 1.0)], [("n", 1.0), ("one", 1.0)]]
+
+
+def test_texts_a_scorer_fails_on_carry_the_error(spark):
+    def load():
+        def score(texts):
+            if "bad" in texts:
+                raise KeyError("bad")
+            return np.array([[1.0] for _ in texts])
+        return score
+
+    rows = spark.createDataFrame([("ok",), ("bad",), ("fine",)], ["code"]).coalesce(1)
+    got = {r.code: (r.s.scores, r.s.error) for r in rows.withColumn("s", batch_scorer(load)(F.col("code"))).collect()}
+    assert got == {"ok": ([1.0], None), "bad": (None, "KeyError"), "fine": ([1.0], None)}
+
+
+def test_labels_outside_the_set_count_in_n_and_accuracy(spark):
+    rows = spark.createDataFrame([("a", "a"), ("b", "b"), ("zz", "a")], ["true", "predicted"])
+    got = metrics.model_metrics(rows, labels=["a", "b"]).first()
+    assert (got.n, got.accuracy) == (3, 2 / 3)
+
+
+def test_scores_of_labels_on_one_side_only(spark):
+    saved = spark.createDataFrame([(1, "a", 0.6), (1, "b", 0.4)], "k int, label string, score double")
+    got = scores.score_differences(saved, saved.where("label = 'a'"), ["k"]).first()
+    assert (got.missing_labels, got.max_score_difference, got.local_label) == (1, 0.0, "a")

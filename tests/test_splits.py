@@ -71,6 +71,8 @@ def test_one_to_one_join_refuses_duplicates(spark):
     with pytest.raises(ValueError, match="left"):
         validate.join_one_to_one(right, left, ["k"])
     assert validate.join_one_to_one(left, left.withColumnRenamed("x", "z"), ["k"]).count() == 2
+    with pytest.raises(ValueError, match="1 keys .* missing on the right"):
+        validate.join_one_to_one(left, left.where("k = 1"), ["k"])
 
 
 @settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

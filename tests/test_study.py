@@ -101,7 +101,8 @@ def test_import_keeps_allowed_fields(spark):
                                      keep=["upload"])
     assert "api_key" not in rows.columns
     got = {(r.upload, r.position): (r.problem, r.usage) for r in rows.collect()}
-    assert got == {(0, 0): (None, '{"n":1}'), (0, 1): ("code too long", None), (1, 0): ("record count", None),
+    assert got == {(0, 0): (None, '{"n":1}'), (0, 1): ("code too long", None),
+                   **{(1, k): ("record count", None) for k in range(101)},
                    (2, 0): ("record count", None), (3, 0): ("record count", None)}
 
 
