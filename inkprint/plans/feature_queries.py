@@ -14,7 +14,7 @@ from inkprint.plans.registry import query, r6, rounded
 from inkprint.plans.sql import WORD, WS, class_parts, idf_parts, lst, with_parts
 from inkprint.session import fresh_path
 
-_CHAR = idf_parts("char_tf", K.LIMITED_FEATURES, "c", True)
+_CHAR = idf_parts("char_tf", K.CHAR_FEATURES, "c", True)
 _WORDS = idf_parts("word_tf", K.WORD_FEATURES, "w", False)
 
 
@@ -27,7 +27,7 @@ def _word_model(spark, sf):
 
 
 def _char_model(spark, sf):
-    return ft.fit_tfidf(_train(spark, sf), "char", max_features=K.LIMITED_FEATURES)
+    return ft.fit_tfidf(_train(spark, sf), "char", max_features=K.CHAR_FEATURES)
 
 
 @query("char_ngrams", with_parts(["char_tf"], """
@@ -62,7 +62,7 @@ def vocab_topk(spark, sf):
 
 @query("idf", with_parts(["char_tf"], f"SELECT term, cf, df, {r6('idf')} FROM c_vocab", _CHAR))
 def idf(spark, sf):
-    return rounded(ft.idf_table(_train(spark, sf), "char", K.LIMITED_FEATURES), "idf")
+    return rounded(ft.idf_table(_train(spark, sf), "char", K.CHAR_FEATURES), "idf")
 
 
 @query("tfidf_char", with_parts(["char_tf"], f"SELECT row_id, term, {r6('weight')} FROM c_weights", _CHAR))
@@ -172,32 +172,49 @@ def linear_score(spark, sf):
     return rounded(long, "score")
 
 
+_VARIANTS = _NB + [
+    ("s_tf", f"""SELECT row_id, split, term, count(*) AS tf FROM (SELECT row_id, split,
+        unnest(regexp_extract_all(lower(stripped_code), '[{WORD}]+')) AS term FROM split_stripped WHERE split <> 'train') GROUP BY ALL"""),
+    ("s_raw", "SELECT row_id, term, tf * idf AS w FROM s_tf JOIN w_vocab USING (term)"),
+    ("s_weights", "SELECT r.row_id, term, w / norm AS weight FROM s_raw r JOIN (SELECT row_id, sqrt(sum(w * w)) AS norm FROM s_raw GROUP BY row_id) USING (row_id)"),
+    ("s_rows", "SELECT * FROM split_programs WHERE split <> 'train'"),
+    _nb_scores("s_scores", "s_rows", "s_weights"),
+    ("tested", """SELECT 'original' AS variant, split, row_id, "true", label, score FROM nb_scores WHERE split <> 'train'
+        UNION ALL SELECT 'stripped', split, row_id, "true", label, score FROM s_scores"""),
+    ("test_pred", 'SELECT variant, split, row_id, "true", first(label ORDER BY round(score, 9) DESC, label) AS predicted FROM tested GROUP BY ALL'),
+]
+
+
+def _tested(spark, sf):
+    """Held-out rows with both texts, the word model and naive Bayes fitted on original text."""
+    model = _word_model(spark, sf)
+    rows = splits.group_split(fx.stripped(spark, sf)).where("split <> 'train'")
+    return rows, model, _fit_nb(spark, sf, model)
+
+
 @query("robustness_eval", with_parts(["word_tf", "split_stripped"], f"""
-  SELECT variant, n, {r6('accuracy', 'macro_f1', 'weighted_f1')} FROM v_summary""",
-    _NB + [
-        ("s_tf", f"""SELECT row_id, split, term, count(*) AS tf FROM (SELECT row_id, split,
-            unnest(regexp_extract_all(lower(stripped_code), '[{WORD}]+')) AS term FROM split_stripped WHERE split = 'test') GROUP BY ALL"""),
-        ("s_raw", "SELECT row_id, term, tf * idf AS w FROM s_tf JOIN w_vocab USING (term)"),
-        ("s_weights", "SELECT r.row_id, term, w / norm AS weight FROM s_raw r JOIN (SELECT row_id, sqrt(sum(w * w)) AS norm FROM s_raw GROUP BY row_id) USING (row_id)"),
-        ("s_rows", "SELECT * FROM split_programs WHERE split = 'test'"),
-        _nb_scores("s_scores", "s_rows", "s_weights"),
-        ("tested", """SELECT 'original' AS variant, row_id, "true", label, score FROM nb_scores WHERE split = 'test'
-            UNION ALL SELECT 'stripped', row_id, "true", label, score FROM s_scores"""),
-        ("test_pred", 'SELECT variant, row_id, "true", first(label ORDER BY round(score, 9) DESC, label) AS predicted FROM tested GROUP BY ALL'),
-        *class_parts("test_pred", "variant", "v", fx.LANGS),
-    ]))
+  SELECT variant, split, n, {r6('accuracy', 'macro_f1', 'weighted_f1')} FROM v_summary""",
+    _VARIANTS + class_parts("test_pred", "variant, split", "v", fx.LANGS)))
 def robustness_eval(spark, sf):
-    """Fitted on original text, tested on original and on comment-free text."""
-    model = _word_model(spark, sf)
-    nb = _fit_nb(spark, sf, model)
-    test = splits.group_split(fx.stripped(spark, sf)).where("split = 'test'")
-    variants = test.select("row_id", "label", F.explode(F.array(
-        F.struct(F.lit("original").alias("variant"), F.col("code").alias("text")),
-        F.struct(F.lit("stripped").alias("variant"), F.col("stripped_code").alias("text")),
-    )).alias("v")).select("row_id", "label", "v.*")
-    scored = linear.predict(model.transform(variants, text="text", carry=["label", "variant"]), nb)
-    m = metrics.model_metrics(scored.withColumnRenamed("label", "true"), ["variant"], fx.LANGS)
-    return rounded(m.select("variant", "n", "accuracy", "macro_f1", "weighted_f1"), "accuracy", "macro_f1", "weighted_f1")
+    """Fitted on original text, evaluated on original and on comment-free text of validation and test."""
+    m = metrics.model_metrics(jobs.variant_predictions(*_tested(spark, sf)), ["variant", "split"], fx.LANGS)
+    return rounded(m.select("variant", "split", "n", "accuracy", "macro_f1", "weighted_f1"), "accuracy", "macro_f1", "weighted_f1")
+
+
+@query("fitted_attack_success", with_parts(["word_tf", "split_stripped"], """
+  SELECT split, count_if(eligible) AS eligible_correct_changed,
+    round(avg(CASE WHEN eligible THEN CAST(cleaned <> "true" AS INTEGER) END), 6) AS attack_success_rate
+  FROM (SELECT o.split, o."true", s.predicted AS cleaned, o.predicted = o."true" AND t.code <> t.stripped_code AS eligible
+    FROM test_pred o JOIN test_pred s ON o.row_id = s.row_id AND o.variant = 'original' AND s.variant = 'stripped'
+    JOIN split_stripped t ON t.row_id = o.row_id) GROUP BY split""", _VARIANTS))
+def fitted_attack_success(spark, sf):
+    return rounded(jobs.fitted_attack_success(*_tested(spark, sf)), "attack_success_rate")
+
+
+@query("regime_scores")
+def regime_scores(spark, sf):
+    """Scores of one model under three ways to split and fit, which differ in what they leak."""
+    return jobs.regime_scores(fx.programs(spark, sf), fx.LANGS)
 
 
 # --- Spark ML classifiers --------------------------------------------------------
@@ -211,7 +228,7 @@ def _stored(spark, sf):
 def _one_model(name):
     def run(spark, sf):
         stored, size = _stored(spark, sf)
-        return jobs.evaluate(stored, fx.LANGS, [name], size, "limited_features")
+        return jobs.evaluate(stored, fx.LANGS, [name], size, "original")
     return run
 
 
@@ -223,7 +240,7 @@ query("random_forest")(_one_model("Random Forest"))
 @query("model_zoo")
 def model_zoo(spark, sf):
     stored, size = _stored(spark, sf)
-    return jobs.evaluate(stored, fx.LANGS, models.MODEL_NAMES, size, "limited_features")
+    return jobs.evaluate(stored, fx.LANGS, models.MODEL_NAMES, size, "original")
 
 
 @query("ablation_run")

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import NaiveBayes
 from hypothesis import given, settings, strategies as st
 from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import functions as F
@@ -125,15 +126,18 @@ def dense(df):
 def test_naive_bayes_equals_spark_ml(labelled):
     ours = linear.fit_naive_bayes(labelled, ["a", "b", "c"], 12)
     vectors = ft.as_vectors(labelled, 12)
-    theirs = models.fit(vectors, ["a", "b", "c"], "Naive Bayes", 240, 12)
+    target = vectors.withColumn("target", F.expr("array_position(array('a', 'b', 'c'), label) - 1").cast("double"))
+    theirs = NaiveBayes(smoothing=1.0, modelType="multinomial", labelCol="target").fit(target)
     assert ours.weights == pytest.approx(theirs.theta.toArray())
-    a = {r.row_id: r.predicted for r in linear.predict(labelled, ours).collect()}
-    b = {r.row_id: r.predicted for r in models.predict(theirs, vectors, ["a", "b", "c"]).collect()}
+    fitted = models.fit(vectors, ["a", "b", "c"], "Naive Bayes", 240, 12)
+    a = {r.row_id: r.predicted for r in models.predict(fitted, vectors, ["a", "b", "c"]).collect()}
+    b = {r.row_id: "abc"[int(r.prediction)] for r in theirs.transform(target).collect()}
     assert a == b
 
 
 def test_svm_reaches_the_optimum(labelled):
     model = svm.fit_linear_svm(labelled, ["a", "b", "c"], 12, tolerance=1e-6)
+    assert all(s.converged and s.relative_gradient <= 1e-6 for s in model.status)
     x, y = dense(labelled)
     x1 = np.hstack([x, np.ones((len(x), 1))])
     for k, label in enumerate(model.labels):
