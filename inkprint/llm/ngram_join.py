@@ -48,7 +48,7 @@ PERCENT = 90
 BROADCAST_ROWS = 500_000
 #: 64-bit words of the parity sketch that tells apart sets of one group of copies.
 PARITY_WORDS = 8
-_ORDER_TWO, _ORDER_THREE, _PARITY = 0x51ED270B3F4C1A2D, 0x7A3C9E5512B8F06B, 0x2C1B3C6D94D049BB
+_ORDER_TWO, _PARITY = 0x51ED270B3F4C1A2D, 0x2C1B3C6D94D049BB
 
 
 def checked(small: DataFrame) -> DataFrame:
@@ -103,47 +103,37 @@ def _unshared(postings: DataFrame, by: str) -> DataFrame:
 
 def _order_two(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Prefix of order two without its unshared tokens, and the parity sketch of the set."""
-    for batch in batches:
-        found, parity = [], []
-        for tokens, alone in zip(batch.column("tokens"), batch.column("unshared")):
-            own = np.array(tokens.values, np.int64).view(np.uint64)
-            skip = np.array(alone.values, np.int64).view(np.uint64) if alone.is_valid else np.zeros(0, np.uint64)
-            rest = own[~np.isin(own, skip)]
-            ranked = rest[np.argsort(mix(rest ^ np.uint64(_ORDER_TWO)))]
-            found.append(ranked[: max(0, prefix_length(len(own), percent) - len(skip))])
-            bits = np.bincount((mix(own ^ np.uint64(_PARITY)) % np.uint64(64 * PARITY_WORDS)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
-            parity.append(np.packbits(bits.astype(np.uint8)).view(np.uint64))
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), batch.column("s"), _lists(found), _lists(parity)],
-                                         names=["id", "n", "s", "prefix", "parity"])
-
-
-def _filtered(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Prefix filters of orders one and three."""
-    p, q = prefix_length(len(a), percent), prefix_length(len(b), percent)
-    if not np.isin(a[:p], b[:q], assume_unique=True).any():
-        return False
-    x, y = mix(a ^ np.uint64(_ORDER_THREE)), mix(b ^ np.uint64(_ORDER_THREE))
-    return bool(np.isin(np.partition(x, p - 1)[:p], np.partition(y, q - 1)[:q], assume_unique=True).any())
-
-
-def _intersected(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Exact number of common tokens; 0 for pairs that the filters exclude."""
-    for batch in batches:
-        shared = []
-        for x, y in zip(batch.column("ta"), batch.column("tb")):
-            a, b = (np.array(t.values, np.int64).view(np.uint64) for t in (x, y))
-            shared.append(len(np.intersect1d(a, b, assume_unique=True)) if _filtered(a, b, percent) else 0)
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("a", "b", "na", "nb")], pa.array(shared, pa.int64())], names=["a", "b", "na", "nb", "shared"])
+    for whole in batches:
+        for first in range(0, whole.num_rows, 500):
+            batch = whole.slice(first, 500)
+            found, parity = [], []
+            for tokens, alone in zip(batch.column("tokens"), batch.column("unshared")):
+                own = np.array(tokens.values, np.int64).view(np.uint64)
+                skip = np.array(alone.values, np.int64).view(np.uint64) if alone.is_valid else np.zeros(0, np.uint64)
+                rest = own[~np.isin(own, skip)]
+                ranked = rest[np.argsort(mix(rest ^ np.uint64(_ORDER_TWO)))]
+                found.append(ranked[: max(0, prefix_length(len(own), percent) - len(skip))])
+                bits = np.bincount((mix(own ^ np.uint64(_PARITY)) % np.uint64(64 * PARITY_WORDS)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+                parity.append(np.packbits(bits.astype(np.uint8)).view(np.uint64))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), batch.column("s"), _lists(found), _lists(parity)],
+                                             names=["id", "n", "s", "prefix", "parity"])
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with their sizes and number of common tokens."""
+    """The pairs (a, b) with their sizes and exact number of common tokens; 0 where orders one or three exclude them.
+
+    Sets are compared row by row where the join puts them, so memory follows the longest pair, not a batch.
+    """
     stored = materialize(pairs, "pairs")
     hubs = checked(stored.select(F.col("b").alias("id")).distinct())
     left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")).join(checked(stored), "a")
     right = sets.join(hubs, "id", "left_semi").select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    both = left.join(right, "b").select("a", "b", "na", "nb", "ta", "tb")
-    return materialize(both.mapInArrow(lambda x: _intersected(x, percent), "a bigint, b bigint, na bigint, nb bigint, shared bigint"), "overlaps")
+    length = lambda n: F.expr(f"{n} - ({percent} * {n} + 99) div 100 + 1").cast("int")
+    third = lambda t, n: F.slice(F.sort_array(F.transform(t, lambda x: F.xxhash64(F.lit(3), x))), F.lit(1), length(n))
+    one = F.arrays_overlap(F.slice("ta", F.lit(1), length("na")), F.slice("tb", F.lit(1), length("nb")))
+    three = F.arrays_overlap(third("ta", "na"), third("tb", "nb"))
+    shared = F.when(one, F.when(three, F.size(F.array_intersect("ta", "tb")).cast("bigint")))
+    return materialize(left.join(right, "b").select("a", "b", "na", "nb", F.coalesce(shared, F.lit(0)).alias("shared")), "overlaps")
 
 
 def _links(overlaps: DataFrame, percent: int) -> DataFrame:
