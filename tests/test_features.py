@@ -5,7 +5,6 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import NaiveBayes
 from hypothesis import given, settings, strategies as st
 from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import functions as F
