@@ -17,7 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from inkprint import constants as K  # noqa: E402
 from inkprint.operators import features as ft, models  # noqa: E402
 from inkprint.plans import catalog, fixtures as fx  # noqa: E402
-from inkprint.session import build_session  # noqa: E402
+from inkprint.session import build_session, release  # noqa: E402
 
 QUERIES = [
     "strip_comments", "data_summary", "leakage_audit", "split_audit", "augmentation_effect",
@@ -75,6 +75,7 @@ def main() -> None:
         "metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": sf_dir.rstrip("/").rsplit("/", 1)[-1].removeprefix("sf"),
     }))
+    release(spark)
     spark.stop()
 
 

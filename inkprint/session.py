@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_written: list[str] = []
 
 
 def build_session(app: str = "inkprint", master: str | None = None, **conf) -> SparkSession:
@@ -43,7 +44,19 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{work_folder(spark)}/inkprint/{name}-{uuid.uuid4().hex}"
+    """A new folder of ours; :func:`release` removes all of them."""
+    path = f"{work_folder(spark)}/inkprint/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the folders written so far, once no result that reads them is needed; how many there were."""
+    found = 0
+    while _written:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        found += bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True))
+    return found
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from inkprint.session import build_session  # noqa: E402
+from inkprint.session import build_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,4 +16,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
+    release(session)
     session.stop()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from inkprint.functions.scorer import batch_scorer, labelled
 from inkprint.operators import compare, encode, metrics, scores
+from inkprint.session import materialize, release
 
 
 @pytest.fixture(scope="module")
@@ -90,3 +91,8 @@ def test_scores_of_labels_on_one_side_only(spark):
     saved = spark.createDataFrame([(1, "a", 0.6), (1, "b", 0.4)], "k int, label string, score double")
     got = scores.score_differences(saved, saved.where("label = 'a'"), ["k"]).first()
     assert (got.missing_labels, got.max_score_difference, got.local_label) == (1, 0.0, "a")
+
+
+def test_stored_frames_are_removed_on_release(spark):
+    stored = materialize(spark.range(3).toDF("n"), "kept")
+    assert stored.count() == 3 and release(spark) >= 1 and release(spark) == 0
