@@ -1,11 +1,11 @@
 """Personal data: patterns for entities, and information-theoretic sanitisation of what reveals them.
 
-Protected entities are e-mail addresses, IP addresses, card and phone numbers found by pattern. The words
-around an entity (``CONTEXT`` on either side) may reveal it even when it is masked. From the whole corpus
-we count in how many documents an entity e occurs, a term t occurs, and t stands in e's context. The share of
+Protected entities are e-mail addresses, IP addresses, card and phone numbers found by pattern. The other words of
+the texts that hold an entity may reveal it even when it is masked. From the whole corpus we count in how many
+documents an entity e occurs, a term t occurs, and both occur, t anywhere outside the entities. The share of
 e's information that t discloses is ``PMI(e; t) / IC(e)``, with ``IC(e) = -log p(e)``: 1 when t occurs with
-e only, 0 when they are independent. Terms at or above ``DISCLOSURE`` are sensitive wherever they stand in
-the context of that entity; a pair must be seen in ``SUPPORT`` different contexts, so that copies of one
+e only, 0 when they are independent. Terms at or above ``DISCLOSURE`` for some entity are sensitive wherever they
+stand, in texts without that entity too; a pair must be seen in ``SUPPORT`` different texts, so that copies of one
 text are no evidence. Terms that disclose everything (``REMOVE``) are removed, others are generalised to a
 placeholder, as entities are to their kind.
 
@@ -18,9 +18,11 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -31,12 +33,12 @@ from inkprint.session import materialize
 ship_with_job(__name__)
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = 8
 SUPPORT = 2
 DISCLOSURE = 0.8
 REMOVE = 0.999
-#: Candidate terms that may be broadcast after they have been counted.
+#: Rows, and bytes of terms, that may be broadcast after they have been counted.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
 
 # Fixed values of the contract; the guards before digits only stop retries that cannot match.
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
@@ -45,8 +47,6 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TERM = regex.compile(r"\p{L}{3,}")
-#: Context is looked for within so many characters of an entity, in whole words.
-_REACH = 40 * CONTEXT
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -84,75 +84,86 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, int, str, int, int]]:
-    """(entity, context, term, start, end) of the terms around each entity; entity values are hashed."""
-    out = []
-    covered = [(a, b) for a, _, b in spans]
-    free = lambda a, b: not any(a < y and x < b for x, y in covered)
+def entities(text: str, spans: list[tuple[int, int, int]]) -> list[str]:
+    """The distinct entities of a text, their values hashed."""
+    out = set()
     for start, kind, end in spans:
         value = text[start:end].lower() if kind == 0 else re.sub("[^0-9.]" if kind == 1 else "[^0-9]", "", text[start:end])
-        entity = hashlib.sha256(f"{KINDS[kind]}:{value}".encode("utf-8", "replace")).hexdigest()
-        before = [m.span() for m in _TERM.finditer(text, max(0, start - _REACH), start)]
-        after = [m.span() for m in _TERM.finditer(text, end, min(len(text), end + _REACH))]
-        near = [s for s in before if s[0] > max(0, start - _REACH) or s[0] == 0][-CONTEXT:] + [s for s in after if s[1] < end + _REACH][:CONTEXT]
-        words = [(text[a:b].lower(), a, b) for a, b in near if free(a, b)]
-        window = hashlib.sha256(" ".join(w for w, _, _ in words).encode("utf-8", "replace")).digest()
-        context = int.from_bytes(window[:8], "little", signed=True)
-        out += [(entity, context, w, a, b) for w, a, b in words]
-    return out
+        out.add(hashlib.sha256(f"{KINDS[kind]}:{value}".encode("utf-8", "replace")).hexdigest())
+    return sorted(out)
+
+
+def terms(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of all terms that touch no entity, in order; ``spans`` are sorted."""
+    at, covered = 0, 0
+    for m in _TERM.finditer(text):
+        a, b = m.span()
+        while at < len(spans) and spans[at][0] < b:
+            covered = max(covered, spans[at][2])
+            at += 1
+        if covered <= a:
+            yield m[0].lower(), a, b
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int64()), ("end", pa.int64())])
-_CONTEXT = pa.struct([("entity", pa.string()), ("context", pa.int64()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-_FOUND = "_base array<struct<start:bigint,kind:bigint,end:bigint>>, _near array<struct<entity:string,context:bigint,term:string,start:bigint,end:bigint>>"
+_SPANS = "array<struct<start:bigint,kind:bigint,end:bigint>>"
+
+
+def _dicts(spans: list[tuple[int, int, int]]) -> list[dict]:
+    return [dict(zip(("start", "kind", "end"), s)) for s in spans]
 
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
             part = batch.slice(at, 1000)
-            base, near = [], []
-            for text in part.column("_text").to_pylist():
-                spans = base_spans(text)
-                base.append([dict(zip(("start", "kind", "end"), s)) for s in spans])
-                near.append([dict(zip(("entity", "context", "term", "start", "end"), c)) for c in contexts(text, spans)] if spans else [])
-            kept = [i for i, name in enumerate(part.schema.names) if name != "_text"]
-            yield pa.RecordBatch.from_arrays(
-                [*[part.column(i) for i in kept], pa.array(base, pa.list_(_SPAN)), pa.array(near, pa.list_(_CONTEXT))],
-                names=[*[part.schema.names[i] for i in kept], "_base", "_near"])
+            keys, named, said = [], [], []
+            for key, text in zip(part.column("_key").to_pylist(), part.column("_text").to_pylist()):
+                if spans := base_spans(text):
+                    keys.append(key)
+                    named.append(entities(text, spans))
+                    said.append(sorted({t for t, _, _ in terms(text, spans)}))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(named, pa.list_(pa.string())), pa.array(said, pa.list_(pa.string()))],
+                                             names=["_key", "_entities", "_terms"])
+
 
+def _text_key() -> Column:
+    return F.md5(text_of("text")).alias("_key")
 
-def found(docs: DataFrame, carry: list[Column]) -> DataFrame:
-    """The carried columns, ``_key`` of the text, its entities and the terms around them."""
-    told = docs.select(*carry, F.md5(text_of("text")).alias("_key"), text_of("text").alias("_text"))
-    kept = [f for f in told.schema if f.name != "_text"]
-    return told.mapInArrow(_find, StructType(kept + StructType.fromDDL(_FOUND).fields))
+
+def found(docs: DataFrame) -> DataFrame:
+    """``_key`` of every text that holds entities, the entities and all terms beside them, once for each row."""
+    told = docs.select(_text_key(), text_of("text").alias("_text"))
+    return told.mapInArrow(_find, "_key string, _entities array<string>, _terms array<string>")
 
 
 def _terms(text: Column) -> Column:
-    return F.array_distinct(F.split(F.lower(text), r"\P{L}+"))
+    return F.array_distinct(F.transform(F.split(text, r"\P{L}+"), F.lower))
 
 
 def disclosing(docs: DataFrame, seen: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the terms that reveal an entity. ``seen`` holds the contexts of all texts."""
+    """(entity, term, disclosure) of the terms that reveal an entity. ``seen`` holds the texts with entities."""
     spark = docs.sparkSession
-    each = seen.select("_key", F.explode("_near").alias("c")).select("_key", "c.entity", "c.context", "c.term")
-    copies = seen.where(F.size("_base") > 0).groupBy("_key").agg(F.count("*").alias("copies"))
-    texts = each.distinct().join(copies, "_key")
-    by_entity = texts.select("_key", "entity", "copies").distinct().groupBy("entity").agg(F.sum("copies").alias("n_e"))
-    by_context = texts.groupBy("entity", "term", "context").agg(F.sum("copies").alias("n"))
-    pairs = by_context.groupBy("entity", "term").agg(F.count("*").alias("support"), F.sum("n").alias("n_et")).where(F.col("support") >= SUPPORT)
+    copies = seen.groupBy("_key").agg(F.count("*").alias("copies"), F.first("_entities").alias("_entities"), F.first("_terms").alias("_terms"))
+    texts = materialize(copies, "texts")
+    each = texts.select("_key", "copies", F.explode("_entities").alias("entity"))
+    # No term of an entity in fewer texts has the support, so its pairs need not be made.
+    by_entity = each.groupBy("entity").agg(F.count("*").alias("n_texts"), F.sum("copies").alias("n_e")).where(F.col("n_texts") >= SUPPORT)
+    by_entity = _checked(by_entity.select("entity", "n_e"))
+    shared = each.join(by_entity, "entity", "left_semi").groupBy("_key").agg(F.collect_list("entity").alias("shared"))
+    both = texts.join(shared, "_key").select("copies", "_terms", F.explode("shared").alias("entity")).select("copies", "entity", F.explode("_terms").alias("term"))
+    pairs = both.groupBy("entity", "term").agg(F.count("*").alias("support"), F.sum("copies").alias("n_et")).where(F.col("support") >= SUPPORT)
     pairs = materialize(pairs.join(by_entity, "entity"), "pairs")
     n_docs = docs.count()
-    terms = materialize(pairs.select("term").distinct(), "terms")
-    n_terms = terms.count()
+    candidates = materialize(pairs.select("term").distinct(), "terms")
+    n_terms = candidates.count()
     if n_terms == 0:
         return spark.createDataFrame([], "entity string, term string, disclosure double")
     words = docs.select(F.explode(_terms(text_of("text"))).alias("term"))
     if n_terms <= BROADCAST_ROWS:
-        words = words.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
+        words = words.join(F.broadcast(candidates), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
     else:
-        words = words.groupBy("term").agg(F.count("*").alias("n_t")).join(terms, "term", "left_semi")
+        words = words.groupBy("term").agg(F.count("*").alias("n_t")).join(candidates, "term", "left_semi")
     told = pairs.join(words, "term", "left")
     n_t = F.greatest(F.coalesce("n_t", F.lit(0)), "n_et")
     pmi = F.log(F.col("n_et") * float(n_docs) / (F.col("n_e") * n_t))
@@ -161,31 +172,51 @@ def disclosing(docs: DataFrame, seen: DataFrame) -> DataFrame:
     return scored.where(F.col("disclosure") >= DISCLOSURE)
 
 
-def revealed(seen: DataFrame, flagged: DataFrame) -> DataFrame:
-    """Per text the spans of its disclosing terms: ``_key``, ``_more``."""
-    each = seen.where(F.size("_near") > 0).select("_key", F.explode("_near").alias("c")).select("_key", "c.*")
-    action = F.when(F.col("disclosure") >= REMOVE, len(KINDS) + 1).otherwise(len(KINDS)).cast("bigint")
-    hits = each.join(flagged, ["entity", "term"]).select("_key", "start", "end", action.alias("kind"))
-    merged = hits.groupBy("_key", "start", "end").agg(F.max("kind").alias("kind"))
-    return merged.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("_more"))
-
-
 def _checked(small: DataFrame) -> DataFrame:
-    stored = materialize(small, "spans")
+    stored = materialize(small, "small")
     return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
 
 
-def all_spans(docs: DataFrame, carry: list[Column], keep_text: bool) -> DataFrame:
+def marked(rows: DataFrame, known: Broadcast | None) -> DataFrame:
+    """``rows`` without ``_text`` and ``_hits``, with ``_base`` and ``_spans`` in order of start and kind.
+
+    ``known`` has the kind of every disclosing term; without it each row brings its own in ``_hits``.
+    """
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                hits = repeat(known.value) if known else ({h["term"]: h["kind"] for h in own or ()} for own in part.column("_hits").to_pylist())
+                base, every = [], []
+                for text, kinds in zip(part.column("_text").to_pylist(), hits):
+                    spans = base_spans(text)
+                    more = []
+                    if kinds and not kinds.keys().isdisjoint(map(str.lower, _TERM.findall(text))):
+                        more = [(a, kinds[t], b) for t, a, b in terms(text, spans) if t in kinds]
+                    base.append(_dicts(spans))
+                    every.append(_dicts(sorted(spans + more)))
+                kept = [i for i, name in enumerate(part.schema.names) if name not in ("_text", "_hits")]
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(i) for i in kept], pa.array(base, pa.list_(_SPAN)), pa.array(every, pa.list_(_SPAN))],
+                    names=[*[part.schema.names[i] for i in kept], "_base", "_spans"])
+
+    carried = [f for f in rows.schema if f.name not in ("_text", "_hits")]
+    return rows.mapInArrow(mark, StructType(carried + StructType.fromDDL(f"_base {_SPANS}, _spans {_SPANS}").fields))
+
+
+def all_spans(docs: DataFrame, carry: list[Column]) -> DataFrame:
     """The carried columns with ``_base`` and ``_spans``, both in order of start and kind."""
-    if keep_text:
-        seen = materialize(found(docs, []).where(F.size("_base") > 0), "entities")
-        rows = found(docs, carry)
-    else:
-        rows = seen = materialize(found(docs, carry), "entities")
-    more = revealed(seen, materialize(disclosing(docs, seen), "disclosing"))
-    joined = rows.join(_checked(more), "_key", "left")
-    none = F.array().cast("array<struct<start:bigint,kind:bigint,end:bigint>>")
-    return joined.withColumn("_spans", F.sort_array(F.concat("_base", F.coalesce("_more", none))))
+    spark = docs.sparkSession
+    told = disclosing(docs, materialize(found(docs), "entities"))
+    kind = F.when(F.max("disclosure") >= REMOVE, len(KINDS) + 1).otherwise(len(KINDS)).cast("bigint")
+    flagged = materialize(told.groupBy("term").agg(kind.alias("kind")), "disclosing")
+    n, n_bytes = flagged.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    if n <= BROADCAST_ROWS and n_bytes <= BROADCAST_BYTES:
+        known = spark.sparkContext.broadcast({r.term: r.kind for r in flagged.collect()})
+        return marked(docs.select(*carry, text_of("text").alias("_text")), known)
+    each = docs.select(_text_key(), F.explode(_terms(text_of("text"))).alias("term")).join(flagged, "term")
+    hits = each.groupBy("_key").agg(F.collect_set(F.struct("term", "kind")).alias("_hits"))
+    return marked(docs.select(*carry, _text_key(), text_of("text").alias("_text")).join(hits, "_key", "left"), None).drop("_key")
 
 
 def _joined(spans: str, names: list[str]) -> Column:
@@ -198,7 +229,7 @@ NAMES = [*KINDS, "term", "term"]
 
 def report(docs: DataFrame) -> DataFrame:
     """Counts and spans of every row, by ``doc_id``."""
-    rows = all_spans(docs.select("doc_id", "text"), [F.col("doc_id")], keep_text=False)
+    rows = all_spans(docs.select("doc_id", "text"), [F.col("doc_id")])
     of_kind = lambda k: F.size(F.filter("_base", lambda s: s["kind"] == k)).cast("bigint")
     counts = [of_kind(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return rows.select("doc_id", *counts, F.sha2(_joined("_base", NAMES), 256).alias("base_sha256"), _joined("_spans", NAMES).alias("spans"),
@@ -222,7 +253,7 @@ def _masked(text: Column, spans: Column) -> Column:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with entities and disclosing terms replaced; ``n_chars``, where present, follows the new text."""
-    rows = all_spans(docs, [packed(docs).alias("_row")], keep_text=True)
+    rows = all_spans(docs, [packed(docs).alias("_row")])
     text = F.col("_row.`text`")
     put = F.when(F.size("_spans") > 0, _masked(F.coalesce(text, F.lit("")), F.col("_spans"))).otherwise(text)
     out = unpacked(rows.select("_row", put.alias("_new"), (F.size("_spans") > 0).alias("_hit")), docs.columns, F.col("_new"), F.col("_hit"))
