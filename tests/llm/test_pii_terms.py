@@ -19,3 +19,16 @@ def test_terms_far_from_the_entity_and_without_it(spark, monkeypatch, broadcast)
     assert new[3] == f"seen: <term>, {FILLER}" and new[5] is None and all(new[k] == t for k, t in OTHERS)
     spans = {r.doc_id: r.spans for r in pii.report(docs).collect()}
     assert spans[3] == spans[4] == "term:6:16" and spans[100] == ""
+
+
+def test_support_of_a_passage_shared_by_different_texts(spark):
+    passage = f"{FILLER} Zimmerling a.b@c.de {FILLER}"
+    rows = [(k, f"{own} {passage} {own}") for k, own in enumerate(["even", "odd", "number"])]
+    new = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows + OTHERS, "doc_id bigint, text string")).collect()}
+    assert all("Zimmerling" not in new[k] for k in range(3))
+
+
+def test_copies_of_one_text_are_no_evidence(spark):
+    rows = [(k, "Zimmerling a.b@c.de") for k in range(3)]
+    new = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows + OTHERS, "doc_id bigint, text string")).collect()}
+    assert all(new[k] == "Zimmerling <email>" for k in range(3))
