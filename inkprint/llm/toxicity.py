@@ -10,7 +10,8 @@ voter, c_jk the correlation of two voters beside what y explains (with an L1 pen
 marginal likelihood, without labels, and gives each pattern a posterior.
 
 Classifier. A logistic regression over presence of words and word beginnings (hashed) is fitted on the posteriors;
-only features that the posteriors tell apart enter. Its scale and offset are set on the labelled training rows.
+the features that the posteriors tell apart enter, and always the voters' own terms and the abuse pattern. One that no
+row of the sample holds weighs as much as its voter's posterior says. Its scale and offset are set on the labelled training rows.
 
 Learning uses training rows only, a sample of about ``FIT_ROWS`` of them, chosen by hash of the id; the sample and
 its selected features (at most ``FEATURES``) are all that reaches the driver. Every whole text is scored.
@@ -37,7 +38,9 @@ ship_with_job(__name__)
 FIT_ROWS = 30_000
 FEATURES = 4_096
 SUPPORT = 5
-SUPPORT_SHARE = 0.01
+#: Least evidence of a feature, in nats: rows times the divergence of its precision from the base rate. By Chernoff's
+#: bound exp(-EVIDENCE) is the chance of a feature that tells nothing; it does not grow with the rows.
+EVIDENCE = 16.0
 ODDS = 30.0
 PRECISION = 0.8
 PASSES = 600
@@ -50,6 +53,9 @@ INSULTS = ("arschloch", "asshole", "bastard", "bitch", "cabrón", "clown", "conn
 _ABUSE = re.compile(r"\b(you|they|he|she|u)\b.{0,12}\b(are|is|re|r)\b.{0,20}\b(" + "|".join(INSULTS) + r")\b|\b(kill|hang|shoot) (yourself|urself|them all)\b|\bgo to hell\b", re.I)
 _ABUSE_HINT = re.compile(r"yourself|urself|them all|to hell|" + "|".join(INSULTS), re.I)
 
+#: Feature of texts that match the pattern of abuse; above all others, whose lowest bits are less.
+ABUSE = np.array([0xFFFFFFFFFFFFFFFF], np.uint64)
+
 _STARTS = (4, 5, 6, 7)
 _KINDS = 1 + len(_STARTS)
 _U = np.uint64
@@ -68,6 +74,16 @@ def feature_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
             yield np.unique(np.concatenate(own))
 
 
+def _abusive(text: str | None) -> bool:
+    return bool(text and _ABUSE_HINT.search(text) and _ABUSE.search(text))
+
+
+def classifier_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """:func:`feature_sets` with ``ABUSE`` where the pattern of abuse matches."""
+    for own, text in zip(feature_sets(texts), texts):
+        yield np.append(own, ABUSE) if _abusive(text) else own
+
+
 def word_features(words: tuple[str, ...]) -> np.ndarray:
     return np.unique((hash_words(list(words), _GAPS)[0] & ~_U(7)))
 
@@ -81,7 +97,7 @@ def votes(features: list[np.ndarray], texts: list[str | None], lexicons: list[np
             n = int(np.isin(own, lexicon, assume_unique=True).sum()) if len(lexicon) else 0
             out[k, j] = n > 0
             total += n
-        out[k, -2] = bool(text and _ABUSE_HINT.search(text) and _ABUSE.search(text))
+        out[k, -2] = _abusive(text)
         out[k, -1] = total >= 3
     return out
 
@@ -193,10 +209,13 @@ def _tallied(sample: DataFrame, weight: str) -> DataFrame:
 
 def _telling(sample: DataFrame, weight: str, rows: float, positive: float, most: int, odds: float) -> np.ndarray:
     """Features that occur mostly where the weight is 1, the most frequent ``most`` of them."""
-    least = max(SUPPORT, SUPPORT_SHARE * positive)
     inside = (F.col("w") + 0.5) / (positive - F.col("w") + 1.0)
     outside = (F.col("n") - F.col("w") + 0.5) / (rows - positive - F.col("n") + F.col("w") + 1.0)
-    found = _tallied(sample, weight).where((F.col("w") >= least) & (inside / outside >= odds) & (F.col("w") >= PRECISION * F.col("n")))
+    other = F.greatest(F.col("n") - F.col("w"), F.lit(0.0))
+    part = lambda k, rate: F.when(k > 0, k * F.log(k / (F.col("n") * float(rate)))).otherwise(0.0)
+    evidence = part(F.col("w"), positive / rows) + part(other, max(1e-12, 1 - positive / rows))
+    sure = (F.col("w") >= SUPPORT) & (F.col("w") >= PRECISION * F.col("n")) & (evidence >= EVIDENCE)
+    found = _tallied(sample, weight).where(sure & (inside / outside >= odds))
     picked = found.orderBy(F.desc("w"), "feature").limit(most).select("feature").collect()
     return np.sort(np.array([r.feature for r in picked], np.int64).view(_U))
 
@@ -229,11 +248,12 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, rows: int = FIT_
     table = sample.sparkSession.createDataFrame([(int(c), float(posterior[c])) for c in seen], "votes bigint, p double")
     soft = materialize(voted.join(F.broadcast(table), "votes"), "posteriors")  # at most 2 ** voters patterns
     total, mass = soft.agg(F.count("*"), F.coalesce(F.sum("p"), F.lit(0.0))).first()
-    features = _telling(soft, "p", total, mass, FEATURES, ODDS) if total and mass > 0 else np.zeros(0, _U)
+    telling = _telling(soft, "p", total, mass, FEATURES, ODDS) if total and mass > 0 else np.zeros(0, _U)
+    features = np.unique(np.concatenate([telling, *lexicons, ABUSE]))
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = feature_sets(batch.column("text").to_pylist())
+            sets = classifier_sets(batch.column("text").to_pylist())
             hits = [np.flatnonzero(np.isin(features, s, assume_unique=True)).tolist() for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(hits, pa.list_(pa.int64())), batch.column("p"), batch.column("label")], names=["hits", "p", "label"])
 
@@ -246,7 +266,12 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, rows: int = FIT_
     margin = np.bincount(rows_, w[columns], len(starts) - 1) + w[-1]
     label = np.array(fitted.column("label").to_pandas(), float)
     a, b = fit_scale(margin[~np.isnan(label)], label[~np.isnan(label)])
-    return features, np.append(a * w[:-1], a * w[-1] + b)
+    w = np.append(a * w[:-1], a * w[-1] + b)
+    alone = np.clip(model.posterior(), 1e-6, 1 - 1e-6)
+    for own, voter in ((lexicons[0], 0), (ABUSE, voters - 2)):
+        unseen = np.isin(features, own) & (np.bincount(columns, minlength=len(features)) == 0)
+        w[:-1][unseen] = np.log(alone[1 << voter] / (1 - alone[1 << voter])) - w[-1]
+    return features, w
 
 
 def score(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, rows: int = FIT_ROWS) -> DataFrame:
@@ -258,7 +283,7 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, ro
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                margins = [weights[:-1][np.isin(features, s, assume_unique=True)].sum() + weights[-1] for s in feature_sets(part.column("text").to_pylist())]
+                margins = [weights[:-1][np.isin(features, s, assume_unique=True)].sum() + weights[-1] for s in classifier_sets(part.column("text").to_pylist())]
                 p = 1 / (1 + np.exp(-np.clip(np.array(margins, float), -40, 40)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
                                                  names=["doc_id", "held_out", "score", "predicted"])
