@@ -246,7 +246,7 @@ def model_zoo(spark, sf):
 @query("ablation_run")
 def ablation_run(spark, sf):
     corpus = splits.group_split(fx.stripped(spark, sf))
-    return jobs.ablation(corpus, fx.LANGS, ["Naive Bayes", "Linear SVM"])
+    return jobs.ablation(corpus, fx.LANGS, models.MODEL_NAMES)
 
 
 @query("model_reload")
