@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from inkprint.llm import decontaminate, licences, lm_score, mixing, ngram_join, pii, pu_quality, quality_rules, toxicity, url_filter
-from inkprint.llm.sql import OP1_SQL, OP6_SQL, OP10_SQL, URL_RULES
+from inkprint.llm import (coordinate_join, decontaminate, hard_negatives, licences, lm_score, mixing, ngram_join, pii, pu_quality, quality_rules,
+                          spelling, toxicity, url_filter)
+from inkprint.llm.sql import OP1_SQL, OP6_SQL, OP10_SQL, OP13_SQL, URL_RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +65,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", F.col("n_windows").cast("bigint").alias("n_windows"), F.col("n_shared").cast("bigint").alias("n_shared"))
 
 
+def op11_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coordinate_join.classes(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_toxicity": op2_toxicity,
@@ -75,5 +88,8 @@ QUERIES: dict[str, Query] = {
     "op8_licence_scan": op8_licence_scan,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_decontamination": op10_decontamination,
+    "op11_minhash_join": op11_minhash_join,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_hard_negatives": op13_hard_negatives,
 }
-ORACLES: dict[str, str] = {"op1_url_filter": OP1_SQL, "op6_quality_rules": OP6_SQL, "op10_decontamination": OP10_SQL}
+ORACLES: dict[str, str] = {"op1_url_filter": OP1_SQL, "op6_quality_rules": OP6_SQL, "op10_decontamination": OP10_SQL, "op13_hard_negatives": OP13_SQL}
