@@ -14,10 +14,12 @@ least ``MATCHES`` coordinates, and every candidate is confirmed on the full sets
 The threshold is far below what linked sets have (85 % of the coordinates): one link in some 10**7 at its very edge is
 missed at 38 of 64, and as few at 186 of the 256 packed coordinates that are counted.
 
-Sets with equal shingles are one set from the start. No list is expanded into all pairs: its sets are first
-confirmed against one hub, the set whose values have the longest lists. What remains are pairs of different
-components; those of one list are dealt over as many salts as its pairs ask for. Before that, a set whose
-shingles are to less than ``PERCENT`` % shared with any other candidate set is out, since it can have no link.
+Sets with equal shingles are one set from the start. No list is expanded into all pairs: its sets are confirmed
+against one hub, the set whose values have the longest lists, and those outside the list's largest component against
+hubs of their own, ``ROUNDS`` times. What remains are pairs of different components; a pair is made in the first list
+that it shares only, if sizes, packed coordinates and parity bits (as many bits differ as shingles differ, at most) allow
+a link; a list's pairs are dealt over as many salts as they ask for. Before that, a set whose shingles are to less
+than ``PERCENT`` % shared with any other candidate set is out, since it can have no link.
 
 Odd rows: null, empty and blank texts have an empty set, are linked with nothing and are their own class. Rows with
 a null id have a null class, are kept and are linked with nothing. Repeated rows share their class; rows that repeat an
@@ -45,6 +47,10 @@ WIDTH, PERCENT = 5, 85
 COORDINATES, MATCHES = 64, 38
 #: Coordinates of four bits that are counted when two sets have met, and how many of them must agree.
 PACKED, PACKED_MATCHES = 256, 186
+#: Bits that hold the parity of the members hashed to them.
+PARITY = 1024
+#: Hubs that the sets outside a list's largest component are confirmed against, one after the other.
+ROUNDS = 2
 #: Rows of ids or pairs that may be broadcast after they have been counted; beyond, the join is shuffled.
 BROADCAST_ROWS = 500_000
 #: Pairs of one list that one salt may compare.
@@ -81,6 +87,12 @@ def packed(lows: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(bits << (np.arange(16, dtype=np.uint64) * np.uint64(4)), axis=2)
 
 
+def parity(sets: list[np.ndarray]) -> np.ndarray:
+    """Per set, whether each of ``PARITY`` cells holds an odd number of its members."""
+    odd = [np.bincount((mix(s ^ _PLUS[0]) % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1 for s in sets]
+    return np.packbits(np.array(odd, np.uint8).reshape(len(sets), PARITY), axis=1).view(np.uint64)
+
+
 def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *[len(r) for r in rows]])
     values = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
@@ -108,7 +120,7 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
             part = batch.slice(at, _ROWS)
             sets = list(shingle_sets(part.column("text").to_pylist(), width))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), _lists(sets),
-                                              _lists(list(packed(minima(sets, PACKED))))], names=["id", "n", "tokens", "sketch"])
+                                              _lists(list(np.hstack([packed(minima(sets, PACKED)), parity(sets)])))], names=["id", "n", "tokens", "sketch"])
 
 
 def _collisions_allow(a: Column, b: Column) -> Column:
@@ -121,6 +133,13 @@ def _collisions_allow(a: Column, b: Column) -> Column:
     return sum((differ(k) for k in range(PACKED // 16)), F.lit(0)) <= PACKED - PACKED_MATCHES
 
 
+def _parity_allows(a: Column, b: Column, na: str, nb: str, percent: int) -> Column:
+    """Whether no more parity bits differ than members of linked sets of these sizes may."""
+    words = range(PACKED // 16, PACKED // 16 + PARITY // 64)
+    differ = sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in words), F.lit(0))
+    return (100 + percent) * differ <= (100 - percent) * (F.col(na) + F.col(nb))
+
+
 def _sizes_allow(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
@@ -137,27 +156,34 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _with_hubs(posts: DataFrame, percent: int) -> DataFrame:
-    """Each set with the hubs of the lists it is in; a list's hub is its set of the greatest weight."""
-    hubs = posts.groupBy("token").agg(F.max(F.struct("weight", "id", "n")).alias("h"), F.count("*").alias("length")).where("length > 1")
-    hubs = hubs.select("token", F.col("h.id").alias("b"), F.col("h.n").alias("nb"))
-    met = posts.join(hubs, "token").where((F.col("id") != F.col("b")) & _sizes_allow("n", "nb", percent))
+    """Each set with the hubs of the lists it is in, where they have different components; a hub has the greatest weight."""
+    hubs = posts.groupBy("token").agg(F.max(F.struct("weight", "id", "n", "component")).alias("h"), F.count("*").alias("length")).where("length > 1")
+    hubs = hubs.select("token", F.col("h.id").alias("b"), F.col("h.n").alias("nb"), F.col("h.component").alias("cb"))
+    met = posts.join(hubs, "token").where((F.col("component") != F.col("cb")) & _sizes_allow("n", "nb", percent))
     return met.select(F.col("id").alias("a"), "b").distinct()
 
 
-def _across(posts: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one list whose sizes and collisions allow a link."""
+def _mixed(posts: DataFrame) -> DataFrame:
+    """Lists of several components: token, the component with most sets, and the salts that their pairs are dealt over."""
     sides = posts.groupBy("token", "component").agg(F.count("*").alias("k"))
     lists = sides.groupBy("token").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("length"), F.count("*").alias("sides")).where("sides > 1")
     others = F.col("length") - F.col("top.k")
     salts = F.least(others, F.ceil(others * F.col("length") / PAIRS_PER_SALT)).cast("int")
-    lists = lists.select("token", F.col("top.component").alias("main"), salts.alias("salts"))
-    open_ = materialize(posts.join(lists, "token").join(sketches, "id"), "open")
+    return lists.select("token", F.col("top.component").alias("main"), salts.alias("salts"))
+
+
+def _across(posts: DataFrame, sets: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a list and whose sizes, collisions and parity allow a link."""
+    open_ = materialize(posts.join(_mixed(posts), "token").join(sets, "id").join(prefixes, "id"), "open")
     few = open_.where("component <> main").select("token", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.col("id").alias("a"),
-                                                  F.col("n").alias("na"), F.col("component").alias("ca"), F.col("sketch").alias("sa"))
+                                                  F.col("n").alias("na"), F.col("component").alias("ca"), F.col("sketch").alias("sa"),
+                                                  F.col("prefix").alias("pa"))
     rest = open_.select("token", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("id").alias("b"), F.col("n").alias("nb"),
-                        F.col("component").alias("cb"), F.col("sketch").alias("sb"))
-    met = few.join(rest, ["token", "salt"])
-    met = met.where((F.col("ca") != F.col("cb")) & _sizes_allow("na", "nb", percent) & _collisions_allow(F.col("sa"), F.col("sb")))
+                        F.col("component").alias("cb"), F.col("sketch").alias("sb"), F.col("prefix").alias("pb"), (F.col("component") == F.col("main")).alias("mb"))
+    once = F.col("mb") | (F.col("a") < F.col("b"))  # two sets outside the main component meet twice
+    first = F.array_intersect("pa", "pb")[0] == F.col("token")
+    met = few.join(rest, ["token", "salt"]).where((F.col("ca") != F.col("cb")) & once & _sizes_allow("na", "nb", percent)
+            & _parity_allows(F.col("sa"), F.col("sb"), "na", "nb", percent) & _collisions_allow(F.col("sa"), F.col("sb")) & first)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -187,10 +213,18 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     may = found.join(alone, "id", "left").where(100 * (F.col("n") - F.coalesce("alone", F.lit(0))) >= percent * F.col("n"))
     posts = materialize(may.select("id", "n", "weight", F.explode("prefix").alias("token")), "posts")
 
-    stars = _confirmed(_with_hubs(posts, percent), sets, percent)
-    labelled = materialize(posts.join(components(stars), "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
-    rest = _confirmed(_across(labelled, sets.select("id", "sketch"), percent), sets, percent)
-    final = components(stars.union(rest))
+    links = _confirmed(_with_hubs(posts.withColumn("component", F.col("id")), percent), sets, percent)
+    labels = lambda: materialize(posts.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
+    labelled = labels()
+    for _ in range(ROUNDS):
+        outside = labelled.join(_mixed(labelled), "token").where("component <> main")
+        more = _confirmed(_with_hubs(outside.drop("main", "salts"), percent), sets, percent)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        labelled = labels()
+    links = links.union(_confirmed(_across(labelled, sets.select("id", "sketch"), found.select("id", "prefix"), percent), sets, percent))
+    final = components(links)
 
     of_set = reps.join(final, F.col("rep") == F.col("id"), "left").select("n", "f1", "f2", F.coalesce("component", "rep").alias("component"))
     own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")))
