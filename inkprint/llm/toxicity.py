@@ -17,7 +17,8 @@ Learning uses training rows only, a sample of about ``FIT_ROWS`` of them, chosen
 its selected features (at most ``FEATURES``) are all that reaches the driver. Every whole text is scored.
 
 Null and empty texts have no features and get the classifier's offset alone. Null ids are never learnt
-from. Repeated rows are scored each. Without labelled rows of both kinds only the fixed voters vote.
+from. Repeated rows are scored each. Long texts are hashed whole, in slices. An empty table gives an empty result.
+Without training rows the score is that of the prior and the fixed voters. Without labelled rows of both kinds only the fixed voters vote.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -44,6 +46,8 @@ EVIDENCE = 16.0
 ODDS = 30.0
 PRECISION = 0.8
 PASSES = 600
+#: Log odds of a toxic row before anything is learnt.
+PRIOR = -3.0
 
 INSULTS = ("arschloch", "asshole", "bastard", "bitch", "cabrón", "clown", "connard", "creep", "degenerate", "disgusting", "dumb",
            "dumbass", "estúpido", "filth", "freak", "gilipollas", "hideous", "hure", "idiot", "idiota", "idiote", "imbecile",
@@ -51,7 +55,8 @@ INSULTS = ("arschloch", "asshole", "bastard", "bitch", "cabrón", "clown", "conn
            "putain", "repulsive", "retard", "salaud", "scum", "scumbag", "shit", "slut", "stupid", "subhuman", "trash",
            "vermin", "whore", "wichser", "worthless")
 _ABUSE = re.compile(r"\b(you|they|he|she|u)\b.{0,12}\b(are|is|re|r)\b.{0,20}\b(" + "|".join(INSULTS) + r")\b|\b(kill|hang|shoot) (yourself|urself|them all)\b|\bgo to hell\b", re.I)
-_ABUSE_HINT = re.compile(r"yourself|urself|them all|to hell|" + "|".join(INSULTS), re.I)
+#: A text without any of these, folded, cannot match the pattern.
+_HINTS = ("urself", "them all", "to hell", *INSULTS)
 
 #: Feature of texts that match the pattern of abuse; above all others, whose lowest bits are less.
 ABUSE = np.array([0xFFFFFFFFFFFFFFFF], np.uint64)
@@ -74,31 +79,52 @@ def feature_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
             yield np.unique(np.concatenate(own))
 
 
-def _abusive(text: str | None) -> bool:
-    return bool(text and _ABUSE_HINT.search(text) and _ABUSE.search(text))
+def abusive(texts: list[str | None]) -> list[bool]:
+    """Whether each text matches the pattern of abuse; one pass of an automaton finds the few texts worth a look."""
+    hints = ahocorasick.Automaton()
+    for word in _HINTS:
+        hints.add_word(word.casefold(), True)
+    hints.make_automaton()
+    fold = lambda t: t.lower() if t.isascii() else t.replace("\u0130", "i").replace("\u0131", "i").casefold()
+    return [bool(t and next(hints.iter(fold(t)), None) and _ABUSE.search(t)) for t in texts]
 
 
-def classifier_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
-    """:func:`feature_sets` with ``ABUSE`` where the pattern of abuse matches."""
-    for own, text in zip(feature_sets(texts), texts):
-        yield np.append(own, ABUSE) if _abusive(text) else own
+def matches(texts: list[str | None], features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, place in the sorted features) of all features that the texts have, in that order, each pair once."""
+    found = [np.zeros(0, np.int64)]
+    size, taken = max(1, len(features)), np.zeros(1 << 20, bool)
+    taken[(features >> _U(44)).astype(np.int64)] = True
+    for first, last in slices(texts):
+        words, at, *starts = hash_words(texts[first:last], _GAPS, _STARTS)
+        owner = np.repeat(np.arange(first, last), np.diff(at))
+        for kind, h in enumerate([words, *starts]):
+            live = np.flatnonzero(taken[(h >> _U(44)).astype(np.int64)])
+            tagged = (h[live] & ~_U(7)) | _U(kind)
+            place = np.searchsorted(features, tagged)
+            hit = place < len(features)
+            hit[hit] = features[place[hit]] == tagged[hit]
+            hit &= (tagged > _U(7)) | (kind == 0)
+            found.append(np.unique(owner[live[hit]] * size + place[hit]))
+    abuse = np.flatnonzero(features == ABUSE[0])
+    if len(abuse):
+        found.append(np.flatnonzero(abusive(texts)) * size + abuse[0])
+    every = np.unique(np.concatenate(found))
+    return every // size, every % size
 
 
 def word_features(words: tuple[str, ...]) -> np.ndarray:
     return np.unique((hash_words(list(words), _GAPS)[0] & ~_U(7)))
 
 
-def votes(features: list[np.ndarray], texts: list[str | None], lexicons: list[np.ndarray]) -> np.ndarray:
+def votes(texts: list[str | None], lexicons: list[np.ndarray]) -> np.ndarray:
     """One row per text: hits in each lexicon, the pattern of abuse, and three or more different hits."""
     out = np.zeros((len(texts), len(lexicons) + 2), np.int8)
-    for k, (own, text) in enumerate(zip(features, texts)):
-        total = 0
-        for j, lexicon in enumerate(lexicons):
-            n = int(np.isin(own, lexicon, assume_unique=True).sum()) if len(lexicon) else 0
-            out[k, j] = n > 0
-            total += n
-        out[k, -2] = _abusive(text)
-        out[k, -1] = total >= 3
+    total = np.zeros(len(texts), np.int64)
+    for j, lexicon in enumerate(lexicons):
+        hits = np.bincount(matches(texts, np.sort(lexicon))[0], minlength=len(texts))
+        out[:, j] = hits > 0
+        total += hits
+    out[:, -2], out[:, -1] = abusive(texts), total >= 3
     return out
 
 
@@ -111,7 +137,7 @@ class LabelModel:
         grid = (np.arange(1 << voters)[:, None] >> np.arange(voters)) & 1
         self.free = self._terms(grid, np.zeros(len(grid)))
         self.toxic = self._terms(grid, np.ones(len(grid)))
-        self.theta = np.concatenate([[-3.0], np.full(voters, -3.0), np.full(voters, 4.0), np.zeros(len(self.pairs))])
+        self.theta = np.concatenate([[PRIOR], np.full(voters, -3.0), np.full(voters, 4.0), np.zeros(len(self.pairs))])
 
     def _terms(self, v: np.ndarray, y: np.ndarray) -> np.ndarray:
         both = np.stack([v[:, j] * v[:, k] for j, k in self.pairs], 1) if self.pairs else np.zeros((len(v), 0))
@@ -148,6 +174,9 @@ def _codes(cast: np.ndarray) -> np.ndarray:
 def fit_logistic(starts: np.ndarray, columns: np.ndarray, target: np.ndarray, size: int, passes: int = 400, decay: float = 1e-5) -> np.ndarray:
     """Weights and, last, the offset of a logistic regression on rows of present features, for soft targets."""
     w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+    if not len(target):
+        w[-1] = PRIOR
+        return w
     rows = np.repeat(np.arange(len(target)), np.diff(starts))
     n = max(1, len(target))
     for t in range(1, passes + 1):
@@ -233,7 +262,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, rows: int = FIT_
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            codes = _codes(votes(list(feature_sets(texts)), texts, lexicons))
+            codes = _codes(votes(texts, lexicons))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes)], names=[*batch.schema.names, "votes"])
 
     voted = materialize(sample.mapInArrow(cast, "doc_id bigint, text string, label int, votes bigint"), "votes")
@@ -253,9 +282,9 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: Column, rows: int = FIT_
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = classifier_sets(batch.column("text").to_pylist())
-            hits = [np.flatnonzero(np.isin(features, s, assume_unique=True)).tolist() for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(hits, pa.list_(pa.int64())), batch.column("p"), batch.column("label")], names=["hits", "p", "label"])
+            rows, places = matches(batch.column("text").to_pylist(), features)
+            ends = np.searchsorted(rows, np.arange(batch.num_rows + 1))
+            yield pa.RecordBatch.from_arrays([pa.LargeListArray.from_arrays(ends, places).cast(pa.list_(pa.int64())), batch.column("p"), batch.column("label")], names=["hits", "p", "label"])
 
     fitted = soft.select("text", "p", "label").mapInArrow(present, "hits array<bigint>, p double, label int").toArrow()
     hits = fitted.column("hits").combine_chunks()
@@ -283,8 +312,9 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, ro
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                margins = [weights[:-1][np.isin(features, s, assume_unique=True)].sum() + weights[-1] for s in classifier_sets(part.column("text").to_pylist())]
-                p = 1 / (1 + np.exp(-np.clip(np.array(margins, float), -40, 40)))
+                rows, places = matches(part.column("text").to_pylist(), features)
+                margins = np.bincount(rows, weights[:-1][places], part.num_rows) + weights[-1]
+                p = 1 / (1 + np.exp(-np.clip(margins, -40, 40)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
                                                  names=["doc_id", "held_out", "score", "predicted"])
 
