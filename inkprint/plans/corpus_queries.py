@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from inkprint import constants as K
 from inkprint.functions import text as tx
@@ -17,7 +17,13 @@ from inkprint.sources import corpus, manifest, reports
 @query("scan_corpus", with_parts(["programs"], """
   SELECT row_id, label, prompt, length(code) AS code_chars, source_hash FROM programs"""))
 def scan_corpus(spark, sf):
-    p = fx.programs(spark, sf)
+    """The programs as files of JSON records, read back by byte ranges; ids are in the data."""
+    path = fresh_path(spark, "corpus")
+    record = F.struct("row_id", F.col("code").alias("c_code"), F.col("label").alias("model_name"), "prompt")
+    fx.programs(spark, sf).select(F.to_json(record).alias("value")).write.option("lineSep", ",").text(path)
+    schema = T.StructType([T.StructField("row_id", T.LongType()), *corpus.RECORD_SCHEMA])
+    p = corpus.read_records(spark, path, schema).select("r.row_id", F.col("r.c_code").alias("code"), F.col("r.model_name").alias("label"), "r.prompt")
+    p = p.withColumn("source_hash", tx.source_hash(F.col("code")))
     return p.select("row_id", "label", "prompt", F.length("code").cast("bigint").alias("code_chars"), "source_hash")
 
 

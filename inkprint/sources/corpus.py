@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from inkprint.functions.shipping import ship_with_job
 from inkprint.functions.text import source_hash
+from inkprint.sources import json_records
 
 ship_with_job(__name__)
 
@@ -18,6 +19,8 @@ RECORD_SCHEMA = T.StructType([
     T.StructField("model_name", T.StringType()),
     T.StructField("prompt", T.StringType()),
 ])
+#: Files whose offsets may be broadcast, once counted.
+BROADCAST_FILES = 200_000
 SPLIT_SCHEMA = T.StructType([
     T.StructField("row_id", T.LongType()),
     T.StructField("label", T.StringType()),
@@ -31,11 +34,14 @@ def number_by_file(df: DataFrame, file: str = "file", position: str = "position"
     """Adds ``row_id``, 0-based over all files in path order.
 
     Positions within a file come from the scan. Only the row count per file is
-    aggregated, so no row is sorted or moved to be numbered.
+    aggregated, so no row is sorted to be numbered; none is moved either unless
+    there are more files than may be broadcast. ``file`` may be a struct of ordered parts of files.
     """
     counts = df.groupBy(file).agg(F.count("*").alias("n"))
     before = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(file, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    offsets = counts.select(file, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")).cache()
+    if offsets.count() <= BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
     return df.join(offsets, file).withColumn("row_id", F.col("offset") + F.col(position)).drop("offset")
 
 
@@ -58,11 +64,17 @@ def _corpus(records: DataFrame) -> DataFrame:
 
 
 def read_corpus_json(spark: SparkSession, path: str) -> DataFrame:
-    """Files that each hold one JSON array of records; a file is parsed by one task,
-    so a large corpus should come as many files or as Parquet."""
-    return _corpus(spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), "value"
-    ))
+    """Files of records (an array, lines, or objects in a row), each read by as many tasks as it has byte ranges."""
+    rows = read_records(spark, path, RECORD_SCHEMA).withColumn("part", F.struct("file", "start"))
+    return number_by_file(rows, "part", "number").select(
+        "row_id", F.col("r.c_code").alias("code"), F.col("r.model_name").alias("label"),
+        F.col("r.prompt").alias("prompt"), source_hash(F.col("r.c_code")).alias("source_hash"),
+    )
+
+
+def read_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """file, start, number and the parsed record r; fields outside ``schema`` are ignored."""
+    return json_records.records(spark, path).select("file", "start", "number", F.from_json("text", schema).alias("r"))
 
 
 def _members(frames):
