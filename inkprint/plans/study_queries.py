@@ -290,7 +290,9 @@ def incremental_scoring(spark, sf):
     append_missing(samples.where("row_id % 2 = 0"), _mark_scorer, results, "first", ["row_id"])
     samples.write.parquet(inbox)
     stream = spark.readStream.schema(samples.schema).parquet(inbox)
-    score_stream(stream, _mark_scorer, results, checkpoint, run="a")
+    first = f"{results}/batch=first"
+    known = spark.readStream.schema(spark.read.parquet(first).select(*study.CELL).schema).parquet(first)
+    score_stream(stream, _mark_scorer, results, checkpoint, "a", ["row_id"], known)
     samples.write.mode("append").parquet(inbox)
-    score_stream(stream, _mark_scorer, results, checkpoint, run="a")
+    score_stream(stream, _mark_scorer, results, checkpoint, "a", ["row_id"], known)
     return spark.read.parquet(results).select(*study.CELL, "predicted_label", "error")

@@ -1,19 +1,28 @@
 """Incremental study scoring: score only missing cells, append, never repeat.
 
-Works on a batch of samples or on a file stream. Each micro-batch writes its own
-``batch=<name>`` folder with overwrite, so a retried batch replaces its own
-output, and an anti-join on the cell key skips what earlier batches scored.
+Works on a batch of samples (an anti-join with earlier results finds the missing cells) or on a
+file stream (keyed state does). Each batch writes its own ``batch=<name>`` folder with
+overwrite, so a retried batch replaces its own output.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from inkprint import constants as K
+from inkprint.functions.shipping import ship_with_job
 from inkprint.operators.study import CELL, with_cells
 from inkprint.session import path_exists
 
+ship_with_job(__name__)
+
+#: Number and values of each cell of a sample, and the mask of all.
+_CELLS = [(bit, *cell) for bit, cell in enumerate(itertools.product(K.CLASSIFIERS, [False, True], K.MODES))]
+_ALL = (1 << len(_CELLS)) - 1
 Scorer = Callable[[DataFrame], DataFrame]
 
 
@@ -37,13 +46,56 @@ def append_missing(samples: DataFrame, scorer: Scorer, path: str, batch: str, ve
     scorer(cells).write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
-def score_stream(stream: DataFrame, scorer: Scorer, path: str, checkpoint: str, run: str = "run") -> None:
-    """Drain a file stream; calling it again picks up only new files."""
+def known_cells(scored: DataFrame) -> DataFrame:
+    """sample and bit of cells that are scored already."""
+    number = F.create_map(*[x for cell in _CELLS for x in (F.lit(_name(*cell[1:])), F.lit(cell[0]))])
+    named = F.concat_ws("/", "classifier", F.col("comments_removed").cast("string"), "analysis_mode")
+    return scored.select("sample", number[named].alias("bit")).where("bit is not null")
+
+
+def _name(classifier: str, comments_removed: bool, mode: str) -> str:
+    return f"{classifier}/{str(comments_removed).lower()}/{mode}"
+
+
+def _newly_missing(key, frames, state):
+    """Rows of a sample with the mask of its cells that nobody has scored; from now on they count as scored."""
+    mask, rows = (state.get[0] if state.exists else 0), []
+    for frame in frames:
+        for bit in frame["bit"].dropna():
+            mask |= 1 << int(bit)
+        rows += frame["packed"].dropna().tolist()
+    missing = _ALL & ~mask if rows else 0
+    state.update((mask | missing,))
+    if missing:
+        yield pd.DataFrame({"packed": rows, "missing": missing})
+
+
+def score_stream(stream: DataFrame, scorer: Scorer, path: str, checkpoint: str, run: str = "run", version: list[str] = (), known: DataFrame | None = None) -> None:
+    """Drain a file stream; calling it again picks up only new files.
+
+    What is scored is keyed state: one mask of cells per sample, kept by the stream beside its progress in ``checkpoint``. No
+    batch reads earlier results. A batch that failed starts again from the state before it and replaces its own output.
+    ``known``, a stream of sample, classifier, comments_removed and analysis_mode, holds cells scored elsewhere; its files
+    must be there before the samples are. A sample delivered several times in one batch counts once, as in
+    :func:`append_missing`.
+    """
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in stream.columns]))
+    told = stream.where("generation_status = 'completed'").select("sample", whole.alias("packed"), F.lit(None).cast("int").alias("bit"))
+    if known is not None:
+        told = told.unionByName(known_cells(known).withColumn("packed", F.lit(None).cast("string")))
+    fresh = told.groupBy("sample").applyInPandasWithState(_newly_missing, "packed string, missing int", "mask int", "append", "NoTimeout")
+    schema = stream.schema
+    cells = F.array(*[F.struct(F.lit(bit).alias("bit"), *[F.lit(v).alias(c) for c, v in zip(CELL[1:], cell)]) for bit, *cell in _CELLS])
+
     def each(batch: DataFrame, number: int) -> None:
-        append_missing(batch, scorer, path, f"{run}-{number}")
+        rows = batch.select(F.from_json("packed", schema).alias("s"), "missing")
+        latest = rows.groupBy("s.sample").agg(F.max_by(F.struct("s", "missing"), F.struct(*[F.col(f"s.{v}") for v in version], "s")).alias("r"))
+        wanted = F.filter(cells, lambda c: F.expr("r.missing").bitwiseAND(F.pow(F.lit(2), c["bit"]).cast("int")) != 0)
+        asked = latest.select("r.s.*", F.inline(F.transform(wanted, lambda c: F.struct(*[c[x].alias(x) for x in CELL[1:]]))))
+        scorer(asked).write.mode("overwrite").parquet(f"{path}/batch={run}-{number}")
 
     query = (
-        stream.writeStream.foreachBatch(each)
+        fresh.writeStream.foreachBatch(each).outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -64,6 +64,33 @@ def test_stream_is_idempotent(spark, samples, tmp_path):
     assert spark.read.parquet(path).select(*study.CELL).count() == 384
 
 
+def test_stream_keeps_its_state_over_failures_and_reads_no_results(spark, samples, tmp_path):
+    done = samples.withColumn("generation_status", F.lit("completed"))
+    inbox, path, progress, other = (str(tmp_path / x) for x in ("in", "out", "progress", "other"))
+    elsewhere = study.with_cells(done.select("sample").where("sample like 'p1%'")).where("classifier = '050' or analysis_mode = 'chunks'")
+    elsewhere.select(*study.CELL).write.parquet(other)
+    done.union(done.withColumn("prompt", F.lit("a later text"))).write.parquet(inbox)
+    stream = spark.readStream.schema(done.schema).parquet(inbox)
+    known = spark.readStream.schema(elsewhere.select(*study.CELL).schema).parquet(other)
+    plans = []
+
+    def fails(cells):
+        raise RuntimeError("lost")
+
+    def watched(cells):
+        plans.append(cells._jdf.queryExecution().toString())
+        return scorer(cells).withColumn("prompt", F.lit(None).cast("string")).drop("prompt")
+
+    with pytest.raises(Exception, match="lost"):
+        score_stream(stream, fails, path, progress, "r", ["prompt"], known)
+    score_stream(stream, watched, path, progress, "r", ["prompt"], known)
+    score_stream(stream, fails, path, progress, "r", ["prompt"], known)  # nothing new, so nothing is called
+    got = spark.read.parquet(path).select(*study.CELL)
+    assert got.count() == got.distinct().count() == 384 - elsewhere.count()
+    assert got.join(elsewhere, study.CELL, "left_semi").count() == 0
+    assert plans and not any(path in plan for plan in plans)
+
+
 def test_resume_transitions(spark):
     rows = spark.createDataFrame([(s,) for s in ("pending", "in_progress", "completed", "failed")], ["generation_status"])
     got = {r.generation_status: (r.resumed_status, r.to_process) for r in study.resume_status(rows).collect()}
