@@ -4,10 +4,12 @@ Protected entities are e-mail addresses, IP addresses, card and phone numbers fo
 the texts that hold an entity may reveal it even when it is masked. From the whole corpus we count in how many
 documents an entity e occurs, a term t occurs, and both occur, t anywhere outside the entities. The share of
 e's information that t discloses is ``PMI(e; t) / IC(e)``, with ``IC(e) = -log p(e)``: 1 when t occurs with
-e only, 0 when they are independent. Terms at or above ``DISCLOSURE`` for some entity are sensitive wherever they
-stand, in texts without that entity too; a pair must be seen in ``SUPPORT`` different texts, so that copies of one
-text are no evidence. Terms that disclose everything (``REMOVE``) are removed, others are generalised to a
-placeholder, as entities are to their kind.
+e only, 0 when they are independent. Terms at or above ``DISCLOSURE`` for some entity are sensitive in the texts
+that hold it; a pair must be seen in ``SUPPORT`` different texts, so that copies of one text are no evidence. The
+disclosure of a rare entity stays high for a term that mostly stands elsewhere, and two variants of one text share all
+their rare words. So a term is sensitive in texts without the entity only on more evidence: ``SUPPORT_ELSEWHERE``
+different texts, and at least ``SHARE_ELSEWHERE`` of the rows with the term hold the entity. Terms that disclose everything
+(``REMOVE``) are removed, others are generalised to a placeholder, as entities are to their kind.
 
 Null text counts as empty and has no spans. Results depend on the text alone, so repeated rows and null ids
 need no care. Offsets are code points, ends exclusive.
@@ -34,6 +36,8 @@ ship_with_job(__name__)
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 2
+SUPPORT_ELSEWHERE = 3
+SHARE_ELSEWHERE = 0.5
 DISCLOSURE = 0.8
 REMOVE = 0.999
 #: Rows, and bytes of terms, that may be broadcast after they have been counted.
@@ -142,7 +146,7 @@ def _terms(text: Column) -> Column:
 
 
 def disclosing(docs: DataFrame, seen: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the terms that reveal an entity. ``seen`` holds the texts with entities."""
+    """(entity, term, disclosure, everywhere) of the terms that reveal an entity. ``seen`` holds the texts with entities."""
     spark = docs.sparkSession
     copies = seen.groupBy("_key").agg(F.count("*").alias("copies"), F.first("_entities").alias("_entities"), F.first("_terms").alias("_terms"))
     texts = materialize(copies, "texts")
@@ -158,7 +162,7 @@ def disclosing(docs: DataFrame, seen: DataFrame) -> DataFrame:
     candidates = materialize(pairs.select("term").distinct(), "terms")
     n_terms = candidates.count()
     if n_terms == 0:
-        return spark.createDataFrame([], "entity string, term string, disclosure double")
+        return spark.createDataFrame([], "entity string, term string, disclosure double, everywhere boolean")
     words = docs.select(F.explode(_terms(text_of("text"))).alias("term"))
     if n_terms <= BROADCAST_ROWS:
         words = words.join(F.broadcast(candidates), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
@@ -168,7 +172,8 @@ def disclosing(docs: DataFrame, seen: DataFrame) -> DataFrame:
     n_t = F.greatest(F.coalesce("n_t", F.lit(0)), "n_et")
     pmi = F.log(F.col("n_et") * float(n_docs) / (F.col("n_e") * n_t))
     ic = F.log(F.lit(float(n_docs)) / F.col("n_e"))
-    scored = told.select("entity", "term", F.when(ic > 0, pmi / ic).otherwise(0.0).alias("disclosure"))
+    everywhere = (F.col("support") >= SUPPORT_ELSEWHERE) & (F.col("n_et") >= SHARE_ELSEWHERE * n_t)
+    scored = told.select("entity", "term", F.when(ic > 0, pmi / ic).otherwise(0.0).alias("disclosure"), everywhere.alias("everywhere"))
     return scored.where(F.col("disclosure") >= DISCLOSURE)
 
 
@@ -177,22 +182,36 @@ def _checked(small: DataFrame) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
 
 
-def marked(rows: DataFrame, known: Broadcast | None) -> DataFrame:
+def marked(rows: DataFrame, known: Broadcast | None, near: Broadcast | None) -> DataFrame:
     """``rows`` without ``_text`` and ``_hits``, with ``_base`` and ``_spans`` in order of start and kind.
 
-    ``known`` has the kind of every disclosing term; without it each row brings its own in ``_hits``.
+    ``known`` has the kind of every term that is sensitive everywhere, ``near`` those of each entity; what is too large
+    for them each row brings in ``_hits``.
     """
+    brought = "_hits" in rows.columns
+
+    def sensitive(text: str, spans: list[tuple[int, int, int]], own: list[dict] | None) -> list[dict[str, int]]:
+        sets = [known.value] if known else []
+        if own:
+            sets.append({h["term"]: h["kind"] for h in own})
+        if near and spans:
+            sets += [near.value[e] for e in entities(text, spans) if e in near.value]
+        return sets
+
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                hits = repeat(known.value) if known else ({h["term"]: h["kind"] for h in own or ()} for own in part.column("_hits").to_pylist())
+                hits = part.column("_hits").to_pylist() if brought else repeat(None)
                 base, every = [], []
-                for text, kinds in zip(part.column("_text").to_pylist(), hits):
+                for text, own in zip(part.column("_text").to_pylist(), hits):
                     spans = base_spans(text)
-                    more = []
-                    if kinds and not kinds.keys().isdisjoint(map(str.lower, _TERM.findall(text))):
-                        more = [(a, kinds[t], b) for t, a, b in terms(text, spans) if t in kinds]
+                    kinds: dict[str, int] = {}
+                    if sets := sensitive(text, spans, own):
+                        for t in set(map(str.lower, _TERM.findall(text))):
+                            if told := [s[t] for s in sets if t in s]:
+                                kinds[t] = max(told)
+                    more = [(a, kinds[t], b) for t, a, b in terms(text, spans) if t in kinds] if kinds else []
                     base.append(_dicts(spans))
                     every.append(_dicts(sorted(spans + more)))
                 kept = [i for i, name in enumerate(part.schema.names) if name not in ("_text", "_hits")]
@@ -204,19 +223,38 @@ def marked(rows: DataFrame, known: Broadcast | None) -> DataFrame:
     return rows.mapInArrow(mark, StructType(carried + StructType.fromDDL(f"_base {_SPANS}, _spans {_SPANS}").fields))
 
 
+def _fits(stored: DataFrame) -> bool:
+    n, n_bytes = stored.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term") + F.lit(64)), F.lit(0))).first()
+    return n <= BROADCAST_ROWS and n_bytes <= BROADCAST_BYTES
+
+
 def all_spans(docs: DataFrame, carry: list[Column]) -> DataFrame:
     """The carried columns with ``_base`` and ``_spans``, both in order of start and kind."""
-    spark = docs.sparkSession
-    told = disclosing(docs, materialize(found(docs), "entities"))
-    kind = F.when(F.max("disclosure") >= REMOVE, len(KINDS) + 1).otherwise(len(KINDS)).cast("bigint")
-    flagged = materialize(told.groupBy("term").agg(kind.alias("kind")), "disclosing")
-    n, n_bytes = flagged.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
-    if n <= BROADCAST_ROWS and n_bytes <= BROADCAST_BYTES:
-        known = spark.sparkContext.broadcast({r.term: r.kind for r in flagged.collect()})
-        return marked(docs.select(*carry, text_of("text").alias("_text")), known)
-    each = docs.select(_text_key(), F.explode(_terms(text_of("text"))).alias("term")).join(flagged, "term")
-    hits = each.groupBy("_key").agg(F.collect_set(F.struct("term", "kind")).alias("_hits"))
-    return marked(docs.select(*carry, _text_key(), text_of("text").alias("_text")).join(hits, "_key", "left"), None).drop("_key")
+    context = docs.sparkSession.sparkContext
+    seen = materialize(found(docs), "entities")
+    told = materialize(disclosing(docs, seen), "disclosing")
+    kind = F.when(F.max("disclosure") >= REMOVE, len(KINDS) + 1).otherwise(len(KINDS)).cast("bigint").alias("kind")
+    flagged = materialize(told.where("everywhere").groupBy("term").agg(kind), "everywhere")
+    beside = materialize(told.where("not everywhere").groupBy("entity", "term").agg(kind), "beside")
+    known = near = None
+    hits = []
+    if _fits(flagged):
+        known = context.broadcast({r.term: r.kind for r in flagged.collect()})
+    else:
+        hits.append(docs.select(_text_key(), F.explode(_terms(text_of("text"))).alias("term")).join(flagged, "term").select("_key", "term", "kind"))
+    if _fits(beside):
+        of: dict[str, dict[str, int]] = {}
+        for r in beside.collect():
+            of.setdefault(r.entity, {})[r.term] = r.kind
+        near = context.broadcast(of)
+    else:
+        held = seen.select("_key", F.explode("_entities").alias("entity")).distinct()
+        hits.append(held.join(beside, "entity").select("_key", "term", "kind"))
+    if not hits:
+        return marked(docs.select(*carry, text_of("text").alias("_text")), known, near)
+    both = hits[0] if len(hits) == 1 else hits[0].unionByName(hits[1])
+    own = both.groupBy("_key", "term").agg(F.max("kind").alias("kind")).groupBy("_key").agg(F.collect_list(F.struct("term", "kind")).alias("_hits"))
+    return marked(docs.select(*carry, _text_key(), text_of("text").alias("_text")).join(own, "_key", "left"), known, near).drop("_key")
 
 
 def _joined(spans: str, names: list[str]) -> Column:
