@@ -13,8 +13,9 @@ Which documents of a length are taken follows from a seeded hash of their id. Th
 in one place: quotas are handed down through 256 x 256 hash cells, and only inside a cell are documents ranked,
 so a source and length that holds a third of all rows is spread over 65,536 groups.
 
-Null text has size 0 and is never taken; null sources are a source; null ids share one hash, and
-rows equal in id and size share their ranks in any order. Empty tables give empty results.
+Null text has size 0 and is never taken; null sources are a source; null ids are hashed by their text. Rows equal in id
+are ordered by a hash of the text, so that reruns agree however the rows are partitioned; rows equal in both share
+their ranks in any order. A column ``mix_copies`` of the input gives way to that of the mix. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -38,7 +39,9 @@ CELLS = 256
 
 
 def sized(docs: DataFrame, carry: Column) -> DataFrame:
-    return docs.select(carry.alias("_row"), "source", F.xxhash64(F.lit(SEED), F.col("doc_id")).alias("_h"),
+    text_hash = F.xxhash64("text")
+    by_text = F.when(F.col("doc_id").isNull(), text_hash)  # a null adds nothing to a hash
+    return docs.select(carry.alias("_row"), "source", F.xxhash64(F.lit(SEED), F.col("doc_id"), by_text).alias("_h"), text_hash.alias("_t"),
                        F.size(words(text_of("text"))).cast("bigint").alias("size"))
 
 
@@ -128,7 +131,7 @@ def choose(rows: DataFrame, goals: DataFrame) -> DataFrame:
     upper = _hand_down(upper, ["key", "size"], "c1").select("key", "size", "c1", "quota", "repeats")
     lower = _hand_down(leaf.join(upper, ["key", "size", "c1"]), ["key", "size", "c1"], "c2").drop("n")
     at = ["key", "size", "c1", "c2"]
-    ranked = cells.withColumn("rank", F.row_number().over(Window.partitionBy(*at).orderBy("_h")))
+    ranked = cells.withColumn("rank", F.row_number().over(Window.partitionBy(*at).orderBy("_h", "_t")))
     joined = ranked.join(lower, at, "left")
     copies = F.coalesce(F.col("repeats") + (F.col("rank") <= F.col("quota")).cast("bigint"), F.lit(0))
     return joined.select("_row", "source", "size", copies.cast("bigint").alias("copies"))
@@ -150,4 +153,5 @@ def report(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """Rows of the mix with the columns they came with and ``mix_copies``, the times each is read."""
     rows = sized(docs, packed(docs))
-    return unpacked(choose(rows, goals_of(rows.drop("_row"))).where("copies > 0"), docs.columns, F.col("copies").alias("mix_copies"))
+    kept = [name for name in docs.columns if name.lower() != "mix_copies"]
+    return unpacked(choose(rows, goals_of(rows.drop("_row"))).where("copies > 0"), kept, F.col("copies").alias("mix_copies"))
