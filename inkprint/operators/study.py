@@ -74,6 +74,28 @@ def study_status(status: Column, has_worker: Column) -> Column:
     return F.when((status == "running") & ~has_worker, "interrupted").otherwise(status)
 
 
+RUN_ID = "^[a-f0-9]{32}$"
+
+
+def append_states(states: DataFrame, path: str) -> None:
+    """Appends saved states to the run log, one folder per day of creation. Earlier versions are never rewritten."""
+    day = F.substring("created_at", 1, 10)
+    states.withColumn("day", day).write.mode("append").partitionBy("day").parquet(path)
+
+
+def study_runs(log: DataFrame, active: DataFrame) -> DataFrame:
+    """id, status, created_at of every run, newest first, from an append-only log of ``id, version, status, created_at, updated_at``.
+
+    The latest state of a run counts, by ``updated_at`` and then ``version``. A run saved as running that is not in ``active`` (column ``id``)
+    was interrupted. States without status or time of creation, or whose id is not one, are left out.
+    """
+    readable = log.where(F.col("id").rlike(RUN_ID) & F.col("status").isNotNull() & F.col("created_at").isNotNull())
+    latest = readable.groupBy("id").agg(F.max(F.struct("updated_at", "version", "status", "created_at")).alias("s"))
+    working = active.select("id").distinct().withColumn("working", F.lit(True))
+    status = study_status(F.col("s.status"), F.coalesce("working", F.lit(False))).alias("status")
+    return latest.join(working, "id", "left").select("id", status, "s.created_at").orderBy(F.desc("created_at"), F.desc("id"))
+
+
 def is_good(analysis_error: Column, predicted: Column, labels: list[str]) -> Column:
     return F.coalesce(analysis_error.isNull() & predicted.isin(labels), F.lit(False))
 
@@ -142,6 +164,27 @@ def study_breakdown(analyses: DataFrame, column: str, samples: DataFrame, labels
     )
 
 
+def study_report(analyses: DataFrame, labels: list[str] = K.LABELS,
+                 mapping: dict[str, str] = K.GENERATOR_LABELS, newer: str = K.NEWER_GEMINI) -> DataFrame:
+    """Predictions of every condition, also by generator, task and true label, in long form and from one scan.
+
+    ``level`` is condition (``name`` is null), generator, task or true; the rows of level true are the cells of the confusion
+    matrix, without generators that have no label. Grouping sets run over the counts of all keys, not over the analyses.
+    """
+    good = _judged(analyses, labels, mapping, newer).where("good")
+    counts = good.groupBy(*CONDITION, "model", "task", "expected", "predicted_label").agg(
+        F.count("*").alias("n"), F.count_if("matches").alias("matches"))
+    levels = {"generator": "model", "task": "task", "true": "expected"}
+    key = [*CONDITION, "predicted_label"]
+    sets = [[F.col(c) for c in key]] + [[F.col(c) for c in [*key, column]] for column in levels.values()]
+    summed = counts.groupingSets(sets, *key, *levels.values()).agg(
+        F.sum("n").alias("n"), F.sum("matches").alias("matches"),
+        *[F.grouping(column).alias(f"_{level}") for level, column in levels.items()])
+    level = F.coalesce(*[F.when(F.col(f"_{name}") == 0, name) for name in levels], F.lit("condition"))
+    told = summed.select(*CONDITION, level.alias("level"), F.coalesce(*levels.values()).alias("name"), "predicted_label", "n", "matches")
+    return told.where("level = 'condition' or name is not null")
+
+
 def study_progress(samples: DataFrame, modes: int = len(K.MODES), by: list[str] = ()) -> DataFrame:
     """Samples with ``analysed`` cell counts -> generated, failed, limited, done and expected."""
     status = F.col("generation_status")
@@ -170,11 +213,19 @@ def paired_modes(analyses: DataFrame, keys: list[str] = ("sample", "classifier",
 
 
 def coverage_matrix(analyses: DataFrame, models: list[str]) -> DataFrame:
-    """Exact id matches per condition, one column per generator (id suffix = label)."""
+    """Per condition: exact id matches (id suffix = label) of the comparable generators, in all and one column each.
+
+    Generators of the Gemini family carry dated ids, so any label of the family counts as their match, apart from the others.
+    """
     from inkprint.functions.text import id_suffix
 
     match = F.col("predicted_label") == id_suffix(F.col("model"))
+    family = F.startswith("model", F.lit("google/"))
     return analyses.groupBy(*CONDITION).agg(
+        F.count_if(~family & match).alias("id_matches"),
+        F.count_if(~family).alias("comparable_n"),
+        F.count_if(family & F.startswith("predicted_label", F.lit("gemini"))).alias("gemini_matches"),
+        F.count_if(F.col("predicted_label") == K.GPT_LABEL).alias("gpt_predictions"),
         F.count_if(F.col("chunk_count") > 1).alias("multichunk"),
         *[F.count_if((F.col("model") == m) & match).alias(m) for m in models],
     )

@@ -197,14 +197,13 @@ _NAMES = {"de": "German", "en": "English", "es": "Spanish"}
 
 @query("report_view", with_parts(["ablation_predictions"], f"""
   SELECT {_BY}, CASE class WHEN 'de' THEN 'German' WHEN 'en' THEN 'English' WHEN 'es' THEN 'Spanish' ELSE class END AS name,
-    support, round(f1, 4) AS f1, printf('%.2f%%', 100 * recall) AS recall FROM m_classes WHERE split = 'test'""", _M))
+    support, round(f1, 4) AS f1, printf('%.2f%%', 100 * recall) AS recall FROM m_classes""", _M))
 def report_view(spark, sf):
-    p = fx.ablation_predictions(spark, sf).where("split = 'test'")
-    report = metrics.class_report(p, _BY.split(", "), fx.LANGS)
+    report = metrics.class_report(fx.ablation_predictions(spark, sf), _BY.split(", "), fx.LANGS)
     return report.select(
         *_BY.split(", "), tx.display_name(F.col("class"), _NAMES).alias("name"), "support",
         F.round("f1", 4).alias("f1"), tx.percent(F.col("recall")).alias("recall"),
-    ).orderBy("condition", F.col("f1").desc(), "name")
+    ).orderBy("condition", "split", F.col("f1").desc(), "name")
 
 
 # --- training history ---------------------------------------------------------

@@ -33,6 +33,41 @@ def study_grid(spark, sf):
     return study.study_grid(prompts, _GRID_MODELS)
 
 
+@query("study_runs", """
+  WITH states AS (SELECT doc_id // 50 AS run, doc_id % 50 AS version, ['running', 'paused', 'completed'][doc_id % 3 + 1] AS status
+    FROM documents WHERE doc_id % 17 <> 3 AND doc_id % 19 <> 4),
+  latest AS (SELECT run, max_by(status, version) AS status FROM states GROUP BY run)
+  SELECT md5('run' || run) AS id, CASE WHEN status = 'running' AND run % 4 <> 0 THEN 'interrupted' ELSE status END AS status,
+    printf('2025-01-%02dT00:00:00+00:00', run % 28 + 1) AS created_at FROM latest""")
+def study_runs(spark, sf):
+    """Each document is a saved state of the run of its fifty; one in seventeen has no run id, one in nineteen no status."""
+    i = F.col("doc_id")
+    run, version = F.floor(i / 50), i % 50
+    run_id = F.md5(F.concat(F.lit("run"), run.cast("string")).cast("binary"))
+    stamp = lambda minute: F.format_string("2025-01-%02dT00:%02d:00+00:00", run % 28 + 1, minute)
+    states = fx.table(spark, sf, "documents").select(
+        F.when(i % 17 == 3, "draft").otherwise(run_id).alias("id"), version.alias("version"),
+        F.when(i % 19 != 4, F.element_at(F.array(*[F.lit(s) for s in ("running", "paused", "completed")]), (i % 3 + 1).cast("int"))).alias("status"),
+        stamp(F.lit(0)).alias("created_at"), stamp(version).alias("updated_at"))
+    log = fresh_path(spark, "study_log")
+    for half in ("version >= 25", "version < 25"):  # the log is not in the order of the versions
+        study.append_states(states.where(half), log)
+    active = fx.table(spark, sf, "documents").where(run % 4 == 0).select(run_id.alias("id"))
+    return study.study_runs(spark.read.parquet(log), active)
+
+
+@query("study_report", with_parts(["judged"], """
+  SELECT analysis_mode, classifier, comments_removed, CASE WHEN grouping(model) = 0 THEN 'generator' WHEN grouping(task) = 0 THEN 'task'
+      WHEN grouping(expected) = 0 THEN 'true' ELSE 'condition' END AS level,
+    coalesce(model, task, expected) AS name, predicted_label, count(*) AS n, count_if(matches) AS matches
+  FROM judged WHERE good GROUP BY GROUPING SETS ((analysis_mode, classifier, comments_removed, predicted_label),
+    (analysis_mode, classifier, comments_removed, predicted_label, model), (analysis_mode, classifier, comments_removed, predicted_label, task),
+    (analysis_mode, classifier, comments_removed, predicted_label, expected))
+  HAVING grouping(expected) = 1 OR expected IS NOT NULL"""))
+def study_report(spark, sf):
+    return study.study_report(fx.analyses(spark, sf))
+
+
 def _cells(name: str) -> str:
     return f"sample, classifier, comments_removed, {name} AS analysis_mode"
 
@@ -129,7 +164,11 @@ def paired_modes(spark, sf):
 
 
 @query("coverage_matrix", with_parts(["judged"], """
-  SELECT analysis_mode, classifier, comments_removed, count_if(chunk_count > 1) AS multichunk, """ + ", ".join(
+  SELECT analysis_mode, classifier, comments_removed, count_if(chunk_count > 1) AS multichunk,
+    count_if(model NOT LIKE 'google/%' AND predicted_label = split_part(model, '/', 2)) AS id_matches,
+    count_if(model NOT LIKE 'google/%') AS comparable_n,
+    count_if(model LIKE 'google/%' AND predicted_label LIKE 'gemini%') AS gemini_matches,
+    count_if(predicted_label = '""" + K.GPT_LABEL + """') AS gpt_predictions, """ + ", ".join(
     f"count_if(model = '{m}' AND predicted_label = split_part(model, '/', 2)) AS \"{m}\"" for m in _GRID_MODELS)
     + " FROM judged WHERE good GROUP BY ALL"))
 def coverage_matrix(spark, sf):

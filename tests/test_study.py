@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from inkprint import constants as K
 from inkprint.operators import study
+from inkprint.plans import fixtures
 from inkprint.sources import corpus, manifest, reports, study_json
 from inkprint.streaming.incremental import append_missing, score_stream
 
@@ -191,3 +192,23 @@ def test_reports_replace_only_their_partition(spark, tmp_path):
     assert {(r.split, r.n) for r in reports.read_report(spark, path, df.schema).collect()} == {("a", 9), ("b", 2)}
     reports.write_run_record(spark, {"seed": 42}, str(tmp_path / "run"))
     assert json.loads(spark.read.text(str(tmp_path / "run")).first().value) == {"seed": 42}
+
+
+def test_run_log_lists_the_latest_state_newest_first(spark, tmp_path):
+    a, b, c = ("a" * 32, "b" * 32, "c" * 32)
+    columns = "id string, version int, status string, created_at string, updated_at string"
+    path = str(tmp_path / "log")
+    first = [(a, 1, "running", "2025-01-02", "2025-01-02T02"), (b, 1, "running", "2025-01-01", "2025-01-01T01"), ("../x", 1, "running", "2025-01-09", "2025-01-09")]
+    second = [(a, 2, "paused", "2025-01-02", "2025-01-02T01"), (c, 1, "running", "2025-01-02", "2025-01-02"), (c, 2, None, "2025-01-02", "2025-01-03"),
+              (b, 2, "completed", None, "2025-01-04"), (b, 1, "running", "2025-01-01", "2025-01-01T01")]
+    for rows in (first, second):
+        study.append_states(spark.createDataFrame(rows, columns), path)
+    active = spark.createDataFrame([(c,), (c,)], "id string")
+    listed = [tuple(r) for r in study.study_runs(spark.read.parquet(path), active).collect()]
+    assert listed == [(c, "running", "2025-01-02"), (a, "interrupted", "2025-01-02"), (b, "interrupted", "2025-01-01")]
+    assert study.study_runs(spark.read.parquet(path).where("false"), active).count() == 0
+
+
+def test_report_scans_the_analyses_once(spark):
+    plan = study.study_report(fixtures.analyses(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
