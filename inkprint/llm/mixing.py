@@ -7,7 +7,8 @@ again by weight (the common level is found from running sums over the sources).
 A target is met by whole repeats of the source and one partial pass. For the partial pass only the
 counts of documents per exact length matter: an equal share of every length is taken first, then long
 documents until at most ``RESERVE`` words (and one document) are open, and the open rest is solved exactly
-by a bounded-knapsack table over the remaining counts. If no subset meets it, the nearest sum is taken.
+by a bounded-knapsack table over the remaining counts, at most twice as wide as the open rest. If no subset meets it,
+the nearest sum is taken.
 
 Which documents of a length are taken follows from a seeded hash of their id. They are not ranked
 in one place: quotas are handed down through 256 x 256 hash cells, and only inside a cell are documents ranked,
@@ -76,7 +77,8 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, reserve: int
         took[k] += more
         left -= more * s
     # Bounded knapsack over the open rest: which sums can be reached, and by which size each was reached first.
-    most = left + max(size)
+    # A sum of more than twice the rest is further from it than taking nothing, so the table ends there.
+    most = min(left + max(size), 2 * left)
     mask, reached, by = (1 << (most + 1)) - 1, 1, np.full(most + 1, -1, np.int64)
     for k, s in enumerate(size):
         front = reached
@@ -87,6 +89,8 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, reserve: int
             reached |= front
             bits = np.frombuffer(front.to_bytes(most // 8 + 1, "little"), np.uint8)
             by[np.flatnonzero(np.unpackbits(bits, bitorder="little")[: most + 1])] = k
+            if reached >> left & 1:
+                break
         if reached >> left & 1:
             break
     at = (reached & ((1 << (left + 1)) - 1)).bit_length() - 1
