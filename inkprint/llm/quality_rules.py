@@ -8,8 +8,10 @@ result does not depend on the order of merging.
 
 A rate is an outlier beyond its group's fence: third quartile plus ``reach`` times the
 interquartile range, with a least range per rate so that a group without spread does not reject
-what differs by a rounding error. Groups with under ``least_rows`` rows use the sketch of
-their language, languages with fewer the sketch of all rows.
+what differs by a rounding error. No group is too small for a fence of its own: into its sketch goes that of
+its language, weighing ``prior_rows`` rows, and into the language's that of all rows likewise. A group of a few rows thus
+has nearly its language's fence, and each further row counts for more, without a switch at any number of rows. In between,
+a group unlike its language has a fence wide enough for both.
 
 Null text counts as empty; null language and null source are groups of their own. Repeated rows
 are judged row by row. Empty tables give empty results. Columns of any name are carried along.
@@ -25,7 +27,9 @@ from inkprint.session import materialize
 #: rate -> least interquartile range, per thousand.
 RATES = {"symbols": 25, "repeats": 60, "dup_lines": 150, "capitals": 60, "marks": 30}
 REACH = 3
-LEAST_ROWS = 100
+PRIOR_ROWS = 100
+#: Weight of one row; a cell of a parent sketch is worth a whole number of these parts.
+ROW_WEIGHT = 64
 CELLS = 16
 SYMBOLS = r"[#*$%&|<>]"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -95,29 +99,36 @@ def merge(sketch: DataFrame, by: list[str]) -> DataFrame:
     return sketch.groupBy(*by, "rate", "cell").agg(F.sum("n").alias("n"))
 
 
+def blend(sketch: DataFrame, by: list[str], parent: DataFrame, on: list[str], prior_rows: int = PRIOR_ROWS) -> DataFrame:
+    """Sketch of each group, its rows at ``ROW_WEIGHT``, with its parent's shares merged in at ``prior_rows`` rows."""
+    share = F.lit(prior_rows * ROW_WEIGHT) * F.col("n")
+    whole = F.sum("n").over(Window.partitionBy(*on, "rate"))
+    prior = parent.select(*[F.col(name).alias(f"_{name}") for name in [*on, "rate"]], "cell", F.call_function("div", share, whole).alias("n"))
+    meets = F.lit(True)
+    for name in on:
+        meets = meets & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    groups = sketch.select(*by, "rate").distinct()
+    given = groups.join(prior, meets & (F.col("rate") == F.col("_rate"))).select(*by, "rate", "cell", "n")
+    return merge(sketch.withColumn("n", ROW_WEIGHT * F.col("n")).unionByName(given.where("n > 0")), by)
+
+
 def fences(sketch: DataFrame, by: list[str], reach: int = REACH) -> DataFrame:
-    """One row per group: number of rows and, per rate, the highest value that passes."""
+    """One row per group with, per rate, the highest value that passes."""
     group = Window.partitionBy(*by, "rate")
-    seen = sketch.select(*by, "rate", "cell", F.sum("n").over(group).alias("rows"), F.sum("n").over(group.orderBy("cell")).alias("upto"))
-    quartile = lambda q: F.min(F.when(4 * F.col("upto") >= q * F.col("rows"), F.col("cell")))
-    found = seen.groupBy(*by, "rate").agg(F.max("rows").alias("rows"), value_of(quartile(1)).alias("q1"), value_of(quartile(3)).alias("q3"))
+    seen = sketch.select(*by, "rate", "cell", F.sum("n").over(group).alias("all"), F.sum("n").over(group.orderBy("cell")).alias("upto"))
+    quartile = lambda q: F.min(F.when(4 * F.col("upto") >= q * F.col("all"), F.col("cell")))
+    found = seen.groupBy(*by, "rate").agg(value_of(quartile(1)).alias("q1"), value_of(quartile(3)).alias("q3"))
     least = F.create_map(*[F.lit(x) for pair in RATES.items() for x in pair])
     fence = F.col("q3") + reach * F.greatest(F.col("q3") - F.col("q1"), least[F.col("rate")])
-    picked = found.select(*by, "rate", "rows", fence.alias("fence"))
-    return picked.groupBy(*by).agg(F.max("rows").alias("rows"), *[F.max(F.when(F.col("rate") == r, F.col("fence"))).alias(r) for r in RATES])
+    return found.groupBy(*by).agg(*[F.max(F.when(F.col("rate") == r, fence)).alias(f"max_{r}") for r in RATES])
 
 
-def group_fences(measured: DataFrame, reach: int = REACH, least_rows: int = LEAST_ROWS) -> DataFrame:
-    """Fences per language and source, from the narrowest sketch with enough rows."""
-    own = sketches(measured, ["lang", "source"])
+def group_fences(measured: DataFrame, reach: int = REACH, prior_rows: int = PRIOR_ROWS) -> DataFrame:
+    """Fences per language and source, from sketches that lean on their language's and on that of all rows."""
+    own = materialize(sketches(measured, ["lang", "source"]), "sketches")
     of_lang = merge(own, ["lang"])
-    every = fences(merge(of_lang.withColumn("every", F.lit(1)), ["every"]), ["every"], reach).first()
-    narrow = fences(own, ["lang", "source"], reach).alias("a")
-    wide = fences(of_lang, ["lang"], reach).alias("b")
-    pick = lambda r: F.when(F.col("a.rows") >= least_rows, F.col(f"a.{r}")).when(
-        F.col("b.rows") >= least_rows, F.col(f"b.{r}")).otherwise(F.lit(every and every[r]).cast("bigint"))
-    joined = narrow.join(wide, F.expr("a.lang <=> b.lang"))
-    return joined.select(F.col("a.lang").alias("_lang_key"), "a.source", *[pick(r).alias(f"max_{r}") for r in RATES])
+    lang = blend(of_lang, ["lang"], merge(of_lang, []), [], prior_rows)
+    return fences(blend(own, ["lang", "source"], lang, ["lang"], prior_rows), ["lang", "source"], reach).withColumnRenamed("lang", "_lang_key")
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -136,9 +147,9 @@ def judge(counted: DataFrame, limits: DataFrame) -> DataFrame:
     return joined.withColumn("base_failed", base).withColumn("kept", ~base & F.coalesce(within, F.lit(True)))
 
 
-def stored_fences(counted: DataFrame, reach: int = REACH, least_rows: int = LEAST_ROWS) -> DataFrame:
+def stored_fences(counted: DataFrame, reach: int = REACH, prior_rows: int = PRIOR_ROWS) -> DataFrame:
     """Fences written once; their size on disk tells the planner whether they may be broadcast."""
-    return materialize(group_fences(counted, reach, least_rows), "fences")
+    return materialize(group_fences(counted, reach, prior_rows), "fences")
 
 
 def report(docs: DataFrame, **settings) -> DataFrame:

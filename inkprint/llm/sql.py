@@ -32,27 +32,38 @@ rated AS (
   FROM measured),
 celled AS (
   SELECT *, CASE WHEN v < 16 THEN v ELSE (length(bin(v)) - 4) * 16 + (v >> (length(bin(v)) - 5)) - 16 END AS cell FROM rated),
+own AS (SELECT lang AS l, source AS s, rate, least_range, cell, count(*) AS n FROM celled GROUP BY ALL),
+of_lang AS (SELECT l, rate, least_range, cell, sum(n)::BIGINT AS n FROM own GROUP BY ALL),
+of_all AS (SELECT rate, cell, sum(n)::BIGINT AS n FROM of_lang GROUP BY ALL),
+all_share AS (SELECT rate, cell, 6400 * n // (sum(n) OVER (PARTITION BY rate))::BIGINT AS n FROM of_all),
+lang AS (
+  SELECT l, rate, least_range, cell, sum(n)::BIGINT AS n
+  FROM (SELECT l, rate, least_range, cell, 64 * n AS n FROM of_lang
+        UNION ALL SELECT l, rate, least_range, p.cell, p.n
+        FROM (SELECT DISTINCT l, rate, least_range FROM of_lang) JOIN all_share p USING (rate))
+  GROUP BY ALL),
+lang_share AS (SELECT l, rate, cell, 6400 * n // (sum(n) OVER (PARTITION BY l, rate))::BIGINT AS n FROM lang),
+blended AS (
+  SELECT l, s, rate, least_range, cell, sum(n)::BIGINT AS n
+  FROM (SELECT l, s, rate, least_range, cell, 64 * n AS n FROM own
+        UNION ALL SELECT o.l, o.s, o.rate, o.least_range, p.cell, p.n
+        FROM (SELECT DISTINCT l, s, rate, least_range FROM own) o
+        JOIN lang_share p ON p.l IS NOT DISTINCT FROM o.l AND p.rate = o.rate)
+  WHERE n > 0 GROUP BY ALL),
 ranked AS (
-  SELECT level, l, s, rate, least_range, cell, count(*) OVER (PARTITION BY level, l, s, rate) AS n,
-         count(*) OVER (PARTITION BY level, l, s, rate ORDER BY cell) AS upto
-  FROM (SELECT 'own' AS level, lang AS l, source AS s, * FROM celled
-        UNION ALL SELECT 'lang', lang, NULL, * FROM celled
-        UNION ALL SELECT 'all', NULL, NULL, * FROM celled)),
+  SELECT *, sum(n) OVER (PARTITION BY l, s, rate) AS whole, sum(n) OVER (PARTITION BY l, s, rate ORDER BY cell) AS upto FROM blended),
 quartiles AS (
-  SELECT level, l, s, rate, max(least_range) AS least_range, max(n) AS n,
-         min(cell) FILTER (4 * upto >= n) AS c1, min(cell) FILTER (4 * upto >= 3 * n) AS c3
-  FROM ranked GROUP BY level, l, s, rate),
+  SELECT l, s, rate, least_range, min(cell) FILTER (4 * upto >= whole) AS c1, min(cell) FILTER (4 * upto >= 3 * whole) AS c3
+  FROM ranked GROUP BY ALL),
 valued AS (
   SELECT *, CASE WHEN c1 < 16 THEN c1 ELSE (c1 % 16 + 16) * pow(2, c1 // 16 - 1) END AS q1,
          CASE WHEN c3 < 16 THEN c3 ELSE (c3 % 16 + 16) * pow(2, c3 // 16 - 1) END AS q3
   FROM quartiles),
-fenced AS (SELECT level, l, s, rate, n, q3 + 3 * greatest(q3 - q1, least_range) AS fence FROM valued),
+fenced AS (SELECT l, s, rate, q3 + 3 * greatest(q3 - q1, least_range) AS fence FROM valued),
 beyond AS (
-  SELECT c.rid, bool_or(c.v > CASE WHEN o.n >= 100 THEN o.fence WHEN g.n >= 100 THEN g.fence ELSE a.fence END) AS beyond
+  SELECT c.rid, bool_or(c.v > f.fence) AS beyond
   FROM celled c
-  JOIN fenced o ON o.level = 'own' AND o.l IS NOT DISTINCT FROM c.lang AND o.s IS NOT DISTINCT FROM c.source AND o.rate = c.rate
-  JOIN fenced g ON g.level = 'lang' AND g.l IS NOT DISTINCT FROM c.lang AND g.rate = c.rate
-  JOIN fenced a ON a.level = 'all' AND a.rate = c.rate
+  JOIN fenced f ON f.l IS NOT DISTINCT FROM c.lang AND f.s IS NOT DISTINCT FROM c.source AND f.rate = c.rate
   GROUP BY c.rid)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
