@@ -7,7 +7,7 @@ positives from unlabelled rows: over its upper score ranges, the least ratio of
 positive rows, each half of the sample judged by the classifier of the other. Then ``prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives))`` is minimised; while the
 second part is negative its descent is reversed.
 
-The fit uses a sample of about ``FIT_ROWS`` training rows, chosen by hash of the id; only their statistics reach the
+The fit uses a sample of about ``FIT_ROWS`` training rows, labelled ones first, chosen by hash of the id; only their statistics reach the
 driver. Every whole text is scored.
 
 Null and empty texts have all statistics 0 and are scored as such. Null ids are never learnt from. Repeated

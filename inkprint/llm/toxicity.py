@@ -13,7 +13,7 @@ Classifier. A logistic regression over presence of words and word beginnings (ha
 the features that the posteriors tell apart enter, and always the voters' own terms and the abuse pattern. One that no
 row of the sample holds weighs as much as its voter's posterior says. Its scale and offset are set on the labelled training rows.
 
-Learning uses training rows only, a sample of about ``FIT_ROWS`` of them, chosen by hash of the id; the sample and
+Learning uses training rows only, a sample of about ``FIT_ROWS`` of them, labelled ones first, chosen by hash of the id; the sample and
 its selected features (at most ``FEATURES``) are all that reaches the driver. Every whole text is scored.
 
 Null and empty texts have no features and get the classifier's offset alone. Null ids are never learnt
@@ -210,12 +210,21 @@ def is_held_out(doc_id: Column, parts: int = 5, part: int = 0) -> Column:
 
 
 def fit_sample(docs: DataFrame, labels: DataFrame, held_out: Column, label: str, rows: int) -> DataFrame:
-    """About ``rows`` training rows, chosen by hash of the id, with their label where there is one."""
-    ids = docs.where(F.col("doc_id").isNotNull() & ~held_out).select("doc_id", "text")
-    share = min(1.0, rows / max(1, ids.count()))
-    chosen = ids.where(F.pmod(F.xxhash64(F.lit(91), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
-    return materialize(chosen.join(known, "doc_id", "left").select("doc_id", F.col("text").cast("string").alias("text"), "label"), "sample")
+    """About ``rows`` training rows, chosen by hash of the id, with their label where there is one.
+
+    Half of them have a label, or as many as there are; the rest is filled from the other kind. So few labels among many
+    rows are all in the sample.
+    """
+    ids = docs.where(F.col("doc_id").isNotNull() & ~held_out).select("doc_id", F.col("text").cast("string").alias("text"))
+    known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label")).where("label is not null")
+    n_known = ids.select("doc_id").join(known, "doc_id", "left_semi").count()
+    n_other = ids.select("doc_id").count() - n_known
+    of_known = min(n_known, max(rows // 2, rows - n_other))
+    cell = F.pmod(F.xxhash64(F.lit(91), "doc_id"), F.lit(1 << 20))
+    within = lambda part, whole: cell < int(min(1.0, part / max(1, whole)) * (1 << 20))
+    told = ids.where(within(of_known, n_known)).join(known.where(within(of_known, n_known)), "doc_id").select("doc_id", "text", "label")
+    other = ids.where(within(rows - of_known, n_other)).join(known, "doc_id", "left_anti").select("doc_id", "text", F.lit(None).cast(known.schema["label"].dataType).alias("label"))
+    return materialize(told.unionByName(other), "sample")
 
 
 def _tallied(sample: DataFrame, weight: str) -> DataFrame:
