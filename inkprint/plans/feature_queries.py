@@ -253,11 +253,11 @@ def ablation_run(spark, sf):
 def model_reload(spark, sf):
     """Predictions of a saved model read back; the second call must not fit again."""
     (stored, size), path = _stored(spark, sf), fresh_path(spark, "model")
-    train, test = stored.where("split = 'train'"), stored.where("split = 'test'")
+    train, held_out = stored.where("split = 'train'"), stored.where("split <> 'train'")
     n_rows = train.count()
     models.load_or_fit(path, train, fx.LANGS, "Naive Bayes", n_rows, size)
     model, reused = models.load_or_fit(path, train, fx.LANGS, "Naive Bayes", n_rows, size)
-    return models.predict(model, test, fx.LANGS).withColumn("reused", F.lit(reused))
+    return models.predict(model, held_out, fx.LANGS, carry=["row_id", "split"]).withColumn("reused", F.lit(reused))
 
 
 # --- token windows ------------------------------------------------------------------
