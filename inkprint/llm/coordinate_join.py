@@ -123,20 +123,25 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
                                               _lists(list(np.hstack([packed(minima(sets, PACKED)), parity(sets)])))], names=["id", "n", "tokens", "sketch"])
 
 
-def _collisions_allow(a: Column, b: Column) -> Column:
+def _words(side: str) -> list[Column]:
+    """The sketch as columns that cannot be null: a comparison of two sketches must stay small enough to be compiled."""
+    return [F.coalesce(F.col("sketch")[k], F.lit(0).cast("bigint")).alias(f"{side}{k}") for k in range(PACKED // 16 + PARITY // 64)]
+
+
+def _collisions_allow(a: str, b: str) -> Column:
     """Whether the packed coordinates of two sketches agree often enough."""
     def differ(k: int) -> Column:
-        x = a[k].bitwiseXOR(b[k])
+        x = F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         return F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(_NIBBLES)))
 
     return sum((differ(k) for k in range(PACKED // 16)), F.lit(0)) <= PACKED - PACKED_MATCHES
 
 
-def _parity_allows(a: Column, b: Column, na: str, nb: str, percent: int) -> Column:
+def _parity_allows(a: str, b: str, na: str, nb: str, percent: int) -> Column:
     """Whether no more parity bits differ than members of linked sets of these sizes may."""
     words = range(PACKED // 16, PACKED // 16 + PARITY // 64)
-    differ = sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in words), F.lit(0))
+    differ = sum((F.bit_count(F.col(f"{a}{k}").bitwiseXOR(F.col(f"{b}{k}"))) for k in words), F.lit(0))
     return (100 + percent) * differ <= (100 - percent) * (F.col(na) + F.col(nb))
 
 
@@ -176,14 +181,14 @@ def _across(posts: DataFrame, sets: DataFrame, prefixes: DataFrame, percent: int
     """Pairs of different components that share a list and whose sizes, collisions and parity allow a link."""
     open_ = materialize(posts.join(_mixed(posts), "token").join(sets, "id").join(prefixes, "id"), "open")
     few = open_.where("component <> main").select("token", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.col("id").alias("a"),
-                                                  F.col("n").alias("na"), F.col("component").alias("ca"), F.col("sketch").alias("sa"),
+                                                  F.col("n").alias("na"), F.col("component").alias("ca"), *_words("sa"),
                                                   F.col("prefix").alias("pa"))
     rest = open_.select("token", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("id").alias("b"), F.col("n").alias("nb"),
-                        F.col("component").alias("cb"), F.col("sketch").alias("sb"), F.col("prefix").alias("pb"), (F.col("component") == F.col("main")).alias("mb"))
+                        F.col("component").alias("cb"), *_words("sb"), F.col("prefix").alias("pb"), (F.col("component") == F.col("main")).alias("mb"))
     once = F.col("mb") | (F.col("a") < F.col("b"))  # two sets outside the main component meet twice
     first = F.array_intersect("pa", "pb")[0] == F.col("token")
     met = few.join(rest, ["token", "salt"]).where((F.col("ca") != F.col("cb")) & once & _sizes_allow("na", "nb", percent)
-            & _parity_allows(F.col("sa"), F.col("sb"), "na", "nb", percent) & _collisions_allow(F.col("sa"), F.col("sb")) & first)
+            & _parity_allows("sa", "sb", "na", "nb", percent) & _collisions_allow("sa", "sb") & first)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -214,17 +219,20 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     posts = materialize(may.select("id", "n", "weight", F.explode("prefix").alias("token")), "posts")
 
     links = _confirmed(_with_hubs(posts.withColumn("component", F.col("id")), percent), sets, percent)
-    labels = lambda: materialize(posts.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
+    final = components(links)
+    labels = lambda: materialize(posts.join(final, "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled")
+    joined = lambda more: components(final.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
     labelled = labels()
     for _ in range(ROUNDS):
         outside = labelled.join(_mixed(labelled), "token").where("component <> main")
         more = _confirmed(_with_hubs(outside.drop("main", "salts"), percent), sets, percent)
         if more.isEmpty():
             break
-        links = links.union(more)
+        final = joined(more)
         labelled = labels()
-    links = links.union(_confirmed(_across(labelled, sets.select("id", "sketch"), found.select("id", "prefix"), percent), sets, percent))
-    final = components(links)
+    last = _confirmed(_across(labelled, sets.select("id", "sketch"), found.select("id", "prefix"), percent), sets, percent)
+    if not last.isEmpty():
+        final = joined(last)
 
     of_set = reps.join(final, F.col("rep") == F.col("id"), "left").select("n", "f1", "f2", F.coalesce("component", "rep").alias("component"))
     own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")))
