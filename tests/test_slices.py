@@ -20,3 +20,20 @@ def test_token_lists_are_weighed_in_slices(monkeypatch):
     assert len(whole) == 1 and len(parts) == 4
     assert pa.Table.from_batches(parts).to_pydict() == pa.Table.from_batches(whole).to_pydict()
     assert whole[0].column("row_id").to_pylist() == list(range(1, 8))
+
+
+def test_ngram_lists_are_the_rows_of_the_long_form():
+    texts = ["abcabc", "", "ab", "xyzzyx\U0001f600\U0001f600", "abcab"]
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 6, 7, 8, 9]), pa.array(texts)], names=["row_id", "text"])
+    long = pa.Table.from_batches(ngrams.row_counts((3, 4))([batch])).to_pydict()
+    lists = pa.Table.from_batches(ngrams.row_lists((3, 4))([batch])).to_pydict()
+    flat = [(i, t, n) for i, terms, tfs in zip(*lists.values()) for t, n in zip(terms, tfs)]
+    assert flat == list(zip(*long.values())) and len(lists["row_id"]) == 6
+    assert all(len({len(t) for t in terms}) == 1 for terms in lists["terms"])
+
+
+def test_char_ngrams_sorts_and_shuffles_no_terms(spark):
+    from inkprint.plans import feature_queries as fq
+
+    plan = fq.char_ngrams(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_min" in plan and "length(terms" in plan and "min(term#" not in plan
