@@ -37,3 +37,13 @@ def test_char_ngrams_sorts_and_shuffles_no_terms(spark):
 
     plan = fq.char_ngrams(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "array_min" in plan and "length(terms" in plan and "min(term#" not in plan
+
+
+def test_long_form_is_made_without_a_join(spark):
+    from inkprint.operators import features as ft
+
+    df = spark.createDataFrame([(1, "ab ab c"), (2, "zz"), (3, "c")], "row_id long, code string")
+    model = ft.fit_tfidf(df.where("row_id <> 2"), "word", max_features=10)
+    long = model.explain(model.transform(df))
+    assert "Join" not in long._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.row_id, r.term) for r in long.collect()) == [(1, "ab"), (1, "c"), (3, "c")] and long.columns == ["row_id", "weight", "term"]
