@@ -4,11 +4,12 @@ A paragraph is a line of a text. Its features are the distinct words and word pa
 but ``.`` ``+`` ``-`` inside words dropped) that occur in the licence templates, found by hash, and the share of its
 words and pairs that occur in none. A multinomial logistic regression, fitted by Spark ML, tells the licence families and
 the class ``unknown``. It is trained on the templates' sentences, whole and with words left out, and on
-paragraphs of the corpus: a sample of at most ``BACKGROUND`` that share less than half their word pairs
-with any template, chosen by hash.
+three quarters, told by hash, of the corpus' different paragraphs that share less than half their word pairs
+with any template. Paragraphs with the same features are one row with their number, and together they weigh as
+``BACKGROUND`` at most, so that the sentences count as much in a large corpus as in a small one.
 
-Calibration. The unknown class gets the least handicap at which at most one in a thousand background
-paragraphs that were not trained on is taken for a licence.
+Calibration. The unknown class gets the least handicap at which at most one in a thousand of the other quarter
+is taken for a licence.
 
 Confirmation. A predicted paragraph is confirmed when at least half of its word pairs occur in the templates of its
 family, or when it holds four fifths of the pairs of one of the family's sentences.
@@ -23,15 +24,15 @@ import json
 import re
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from inkprint.llm.words import let, text_of, words
+from inkprint.operators.features import _boundary, as_vectors
 
 BACKGROUND = 4_000
 SLOTS = 1 << 16
 UNKNOWN = "unknown"
-FALSE_ALARMS = 0.001
+FALSE_ALARMS = 1_000  # one in so many
 
 # Sentences of the families' notices and licence texts.
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -101,6 +102,9 @@ class Vocabulary:
         self.size = len(slots)
         self.sentences = {f: [list(r.two) for r in found if r.family == f and len(r.two) > 1] for f in TEMPLATES}
 
+    def known(self, h: Column) -> Column:
+        return _constant([slot in self.number for slot in range(SLOTS)], "array<boolean>")[F.pmod(h, F.lit(SLOTS)).cast("int")]
+
     def features(self, t: Column) -> Column:
         """Distinct feature numbers of a token array, then its share of hashes without a feature."""
         table = _constant([self.number.get(slot, 0) for slot in range(SLOTS)], "array<int>")
@@ -127,14 +131,21 @@ def paragraphs(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n"), lambda p: tokens(p)), lambda t: F.size(t) > 0)
 
 
-def background(docs: DataFrame, vocabulary: Vocabulary, most: int) -> DataFrame:
-    """At most ``most`` token arrays of the corpus that resemble no template; the order is by hash."""
-    many = max(1, docs.count())
-    share = max(1, min(1 << 20, (1 << 20) * most // many))
-    some = docs.where(F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 20)) < share).select(F.explode(paragraphs(text_of("text"))).alias("t"))
+def background(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(x, aside, n): features of the corpus' paragraphs that resemble no template and how many different paragraphs have them.
+
+    Paragraphs are told apart by a 64-bit hash, so that their texts are not shuffled.
+    """
+    each = docs.select(F.explode(paragraphs(text_of("text"))).alias("t"))
     every = _constant([h for s in vocabulary.sentences.values() for t in s for h in t], "array<bigint>")
-    unlike = let(F.array_distinct(_hashes(F.col("t"))[1]), lambda own: 2 * F.size(F.array_intersect(own, every)) < F.greatest(F.size(own), F.lit(1)))
-    return some.where(unlike).distinct().orderBy(F.xxhash64(F.lit(6), "t")).limit(most)
+    def unlike(own: Column) -> Column:
+        # Most paragraphs have few pairs in slots of the vocabulary, which tells without comparing the pairs themselves.
+        least = F.greatest(F.size(own), F.lit(1))
+        return (2 * F.size(F.filter(own, vocabulary.known)) < least) | (2 * F.size(F.array_intersect(own, every)) < least)
+
+    told = each.where(let(F.array_distinct(_hashes(F.col("t"))[1]), unlike)).select(F.xxhash64(F.lit(7), "t").alias("h"), vocabulary.features(F.col("t")).alias("x"))
+    different = told.groupBy("h", "x").agg(F.lit(1).alias("one"))
+    return different.groupBy("x", (F.pmod("h", F.lit(4)) == 0).alias("aside")).agg(F.count("*").alias("n"))
 
 
 def _examples(spark: SparkSession) -> DataFrame:
@@ -181,24 +192,38 @@ class Model:
         return let(let(let(self.vocabulary.features(t), self.margins), of), told)
 
 
+def least_handicap(gaps: DataFrame) -> float:
+    """Least handicap, 0 or more, that at most one in ``FALSE_ALARMS`` of ``n`` paragraphs with this ``gap`` exceeds."""
+    left = (gaps.agg(F.sum("n")).first()[0] or 0) // FALSE_ALARMS
+    at = F.floor(F.col("gap") * 64)
+    cells = gaps.groupBy(at.alias("cell")).agg(F.sum("n").alias("n")).orderBy(F.desc("cell"))
+    cell, left = _boundary(cells, "cell", left)
+    inside = gaps.where(at == F.lit(cell)).groupBy("gap").agg(F.sum("n").alias("n")).orderBy(F.desc("gap"))
+    above, _ = _boundary(inside, "gap", left)
+    return max(0.0, above + 1e-6) if above is not None else 0.0
+
+
 def train(docs: DataFrame, most: int = BACKGROUND) -> Model:
     spark = docs.sparkSession
     vocabulary = Vocabulary(spark)
-    other = background(docs.select(F.col("text").cast("string").alias("text")), vocabulary, most).select(
-        F.lit(len(FAMILIES) - 1).alias("label"), "t", (F.pmod(F.xxhash64(F.lit(7), "t"), F.lit(4)) == 0).alias("aside"))
-    seen = other.union(_examples(spark).select("label", "t", F.lit(False)))
-    told = seen.select("label", "aside", vocabulary.features(F.col("t")).alias("x")).cache()
-    dense = F.concat(F.transform(F.sequence(F.lit(1), F.lit(vocabulary.size)), lambda n: F.array_contains(F.col("x.on"), n).cast("double")), F.array(F.col("x.off")))
-    fitted = told.where("not aside").select(F.col("label").cast("double").alias("label"), array_to_vector(dense).alias("features"))
-    fit = LogisticRegression(family="multinomial", regParam=3e-4, maxIter=60, standardization=False).fit(fitted)
+    unknown = len(FAMILIES) - 1
+    other = background(docs.select(F.col("text").cast("string").alias("text")), vocabulary).select(F.lit(unknown).alias("label"), "aside", "x", "n")
+    known = _examples(spark).select("label", F.lit(False), vocabulary.features(F.col("t")).alias("x"), F.lit(1))
+    on = F.array_sort("x.on")
+    told = as_vectors(other.union(known).withColumns({
+        "indices": F.concat(F.transform(on, lambda i: i - 1), F.array(F.lit(vocabulary.size))),
+        "values": F.concat(F.transform(on, lambda i: F.lit(1.0)), F.array("x.off"))}), vocabulary.size + 1)
+    of_corpus = told.where(F.col("label") == unknown)
+    share = min(1.0, most / (of_corpus.agg(F.sum("n")).first()[0] or most))
+    weight = F.when(F.col("label") == unknown, F.col("n") * share).otherwise(1.0)
+    fitted = told.where("not aside").select(F.col("label").cast("double").alias("label"), weight.alias("weight"), "features")
+    fit = LogisticRegression(family="multinomial", regParam=3e-4, maxIter=60, standardization=False, weightCol="weight").fit(fitted)
     by_class = fit.coefficientMatrix.toArray()
     weights = [[float(b), *map(float, row)] for b, row in zip(fit.interceptVector.toArray(), by_class)]
     weights += [[-50.0] + [0.0] * (vocabulary.size + 1)] * (len(FAMILIES) - len(weights))  # no background: unknown is never seen
     model = Model(vocabulary, weights, 0.0)
-    gap = let(model.margins(F.col("x")), lambda m: F.array_max(F.slice(m, 1, len(FAMILIES) - 1)) - m[len(FAMILIES) - 1])
-    above = told.where("aside").select(gap.alias("gap")).agg(F.percentile("gap", F.lit(1 - FALSE_ALARMS))).first()[0]
-    told.unpersist()
-    return Model(vocabulary, weights, max(0.0, above + 1e-6) if above is not None else 0.0)
+    gap = let(model.margins(F.col("x")), lambda m: F.array_max(F.slice(m, 1, unknown)) - m[unknown])
+    return Model(vocabulary, weights, least_handicap(of_corpus.where("aside").select(gap.alias("gap"), "n")))
 
 
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
