@@ -26,7 +26,7 @@ import re
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from inkprint.llm.words import let, text_of, words
+from inkprint.llm.words import SPACE, let, text_of
 from inkprint.operators.features import _boundary, as_vectors
 
 BACKGROUND = 4_000
@@ -73,9 +73,17 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 FAMILIES = (*sorted(TEMPLATES), UNKNOWN)
 
 
+def _plain(text: Column) -> Column:
+    """Lower-cased, with spaces for punctuation; line ends stay."""
+    return F.regexp_replace(F.lower(text), r"""[!"#$%&'()*,/:;<=>?@\[\\\]^_`{|}~]+""", " ")
+
+
+def _parts(plain: Column) -> Column:
+    return F.filter(F.transform(F.split(plain, SPACE + "+"), lambda w: F.trim(w, F.lit(".+-"))), lambda w: w != "")
+
+
 def tokens(paragraph: Column) -> Column:
-    plain = F.regexp_replace(F.lower(paragraph), r"""[!"#$%&'()*,/:;<=>?@\[\\\]^_`{|}~]+""", " ")
-    return F.filter(F.transform(words(plain), lambda w: F.trim(w, F.lit(".+-"))), lambda w: w != "")
+    return _parts(_plain(paragraph))
 
 
 def _hashes(t: Column) -> tuple[Column, Column]:
@@ -128,7 +136,7 @@ class Vocabulary:
 
 
 def paragraphs(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, "\n"), lambda p: tokens(p)), lambda t: F.size(t) > 0)
+    return F.filter(F.transform(F.split(_plain(text), "\n"), _parts), lambda t: F.size(t) > 0)
 
 
 def background(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -172,8 +180,17 @@ class Model:
         one = lambda w: F.aggregate(features["on"], w[0] + w[last] * features["off"], lambda total, n: total + w[n])
         return F.transform(table, one)
 
+    def most(self, features: Column) -> Column:
+        """No family's margin is further above that of the unknown class: the greatest difference of each weight, summed."""
+        base = self.weights[-1]
+        table = _constant([max(w[n] - base[n] for w in self.weights[:-1]) for n in range(len(base))], "array<double>")
+        return F.aggregate(features["on"], table[0] + table[self.vocabulary.size + 1] * features["off"], lambda total, n: total + table[n])
+
     def judged(self, t: Column) -> Column:
-        """family number, its probability and whether the templates confirm it."""
+        """family number, its probability and whether the templates confirm it.
+
+        Most paragraphs are of the unknown class by :meth:`most` alone; these have no probability.
+        """
         unknown = len(FAMILIES) - 1
 
         def of(m: Column) -> Column:
@@ -189,7 +206,11 @@ class Model:
             sure = F.when(b["family"] == unknown, False).otherwise(self.vocabulary.confirmed(t, b["family"]))
             return F.struct(b["family"].alias("family"), b["p"].alias("p"), sure.alias("confirmed"))
 
-        return let(let(let(self.vocabulary.features(t), self.margins), of), told)
+        def each(features: Column) -> Column:
+            none = F.struct(F.lit(unknown).alias("family"), F.lit(None).cast("double").alias("p"), F.lit(False).alias("confirmed"))
+            return F.when(self.most(features) < self.handicap - 1e-6, none).otherwise(let(let(self.margins(features), of), told))
+
+        return let(self.vocabulary.features(t), each)
 
 
 def least_handicap(gaps: DataFrame) -> float:
