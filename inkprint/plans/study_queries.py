@@ -293,17 +293,33 @@ def batch_score_udf(spark, sf):
     return scored.select("row_id", "s.error", *[F.round(F.get("s.scores", F.lit(k)), 6).alias(x) for k, x in enumerate(_MARKS)])
 
 
+def _mark_texts(samples):
+    """The label of a sample's text under every comment setting and coverage, as a column each; classifiers share it."""
+    rows = samples
+    for removed in (False, True):
+        code = tx.strip_comments(F.col("code")) if removed else F.col("code")
+        pieces = rows.withColumn("tokens", tx.pieces(code))
+        cut = windows.truncate_first(pieces.withColumn("kept", F.col("tokens")), "kept")
+        for mode, tokens in (("first512", "kept"), ("chunks", "tokens")):
+            cut = cut.withColumn("text", F.array_join(tokens, " "))
+            marks = [F.struct(F.lit(x).alias("label"), (F.length("text") - F.length(F.replace("text", F.lit(m), F.lit("")))).alias("score"))
+                     for x, m in _MARKS.items()]
+            cut = cut.withColumn(_mark_column(removed, mode), top_label(F.array(*marks)))
+        rows = cut.select(*rows.columns, *[_mark_column(removed, mode) for mode in K.MODES])
+    return rows
+
+
+def _mark_column(removed, mode):
+    return f"{'stripped' if removed else 'original'}_{mode}"
+
+
 def _mark_scorer(cells):
-    """Native scorer of study cells: text per comment setting and coverage, errors as rows."""
-    code = F.when(F.col("comments_removed"), tx.strip_comments(F.col("code"))).otherwise(F.col("code"))
-    pieces = cells.withColumn("tokens", tx.pieces(code))
-    cut = windows.truncate_first(pieces.withColumn("kept", F.col("tokens")), "kept")
-    text = F.array_join(F.when(F.col("analysis_mode") == "first512", F.col("kept")).otherwise(F.col("tokens")), " ")
-    marks = [F.struct(F.lit(x).alias("label"), (F.length("text") - F.length(F.replace("text", F.lit(m), F.lit("")))).alias("score"))
-             for x, m in _MARKS.items()]
+    """Native scorer of study cells: the label of the cell's text, errors as rows."""
+    found = F.coalesce(*[F.when((F.col("comments_removed") == removed) & (F.col("analysis_mode") == mode), F.col(_mark_column(removed, mode)))
+                         for removed in (False, True) for mode in K.MODES])
     failed = F.col("model") == fx.UNKNOWN_MODEL
-    return cut.withColumn("text", text).select(
-        *study.CELL, F.when(~failed, top_label(F.array(*marks))).alias("predicted_label"),
+    return cells.select(
+        *study.CELL, F.when(~failed, found).alias("predicted_label"),
         F.when(failed, "unsupported model").alias("error"),
     )
 
@@ -326,12 +342,12 @@ def incremental_scoring(spark, sf):
     twice, and only missing cells are added."""
     samples, results = fx.samples(spark, sf), fresh_path(spark, "scored")
     inbox, checkpoint = fresh_path(spark, "inbox"), fresh_path(spark, "progress")
-    append_missing(samples.where("row_id % 2 = 0"), _mark_scorer, results, "first", ["row_id"])
+    append_missing(samples.where("row_id % 2 = 0"), _mark_scorer, results, "first", ["row_id"], _mark_texts)
     samples.write.parquet(inbox)
     stream = spark.readStream.schema(samples.schema).parquet(inbox)
     first = f"{results}/batch=first"
     known = spark.readStream.schema(spark.read.parquet(first).select(*study.CELL).schema).parquet(first)
-    score_stream(stream, _mark_scorer, results, checkpoint, "a", ["row_id"], known)
+    score_stream(stream, _mark_scorer, results, checkpoint, "a", ["row_id"], known, _mark_texts)
     samples.write.mode("append").parquet(inbox)
-    score_stream(stream, _mark_scorer, results, checkpoint, "a", ["row_id"], known)
+    score_stream(stream, _mark_scorer, results, checkpoint, "a", ["row_id"], known, _mark_texts)
     return spark.read.parquet(results).select(*study.CELL, "predicted_label", "error")

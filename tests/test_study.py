@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from inkprint import constants as K
 from inkprint.operators import study
-from inkprint.plans import fixtures
+from inkprint.operators.linear import top_label
+from inkprint.plans import fixtures, study_queries
 from inkprint.sources import corpus, manifest, reports, study_json
 from inkprint.streaming.incremental import append_missing, score_stream
 
@@ -92,6 +93,63 @@ def test_stream_keeps_its_state_over_failures_and_reads_no_results(spark, sample
     assert plans and not any(path in plan for plan in plans)
 
 
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_stream_keeps_texts_out_of_its_state(spark, samples, tmp_path, broadcast):
+    """Values that a trip through text would change stay as they are, so the greater of two versions is found."""
+    inbox, path, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
+    done = samples.withColumn("generation_status", F.lit("completed")).withColumn("missing", F.lit(1))
+    unnamed = done.where("sample like 'p1_r1_1'").withColumn("sample", F.lit(None).cast("string"))
+    versions = [done.unionByName(unnamed).withColumn("at", F.lit(f"2025-01-01 00:00:00.00000{k}").cast("timestamp")) for k in (2, 1)]
+    versions[0].union(versions[1]).write.parquet(inbox)
+    stream, seen = spark.readStream.schema(versions[0].schema).parquet(inbox), spark.sparkContext.accumulator(0)
+
+    def looked(task):
+        seen.add(1)
+        return task
+
+    def shared(rows):
+        return rows.withColumn("looked", F.udf(looked)("task"))
+
+    def kept(cells):
+        return cells.select(*study.CELL, "looked", "missing", F.date_format("at", "SSSSSS").alias("at"))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        score_stream(stream, kept, path, progress, "r", ["at"], shared=shared)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    rows = spark.read.parquet(path)
+    assert rows.count() == 49 * 8 == rows.select(*study.CELL).distinct().count()
+    assert rows.where("sample is null").count() == 8
+    assert {(r.at, r.missing) for r in rows.select("at", "missing").distinct().collect()} == {("000002", 1)}
+    assert seen.value == 49  # once a text, not once a cell
+
+
+def test_stream_refuses_masks_of_the_earlier_form(spark, samples, tmp_path):
+    (tmp_path / "progress" / "offsets").mkdir(parents=True)
+    samples.write.parquet(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="earlier form"):
+        score_stream(spark.readStream.schema(samples.schema).parquet(str(tmp_path / "in")), scorer, str(tmp_path / "out"), str(tmp_path / "progress"))
+
+
+def test_marks_read_every_text_once(spark):
+    """A label is one pass over its scores, and the classifiers of a sample share its four texts."""
+    rows = study_queries._mark_texts(fixtures.samples(spark, "/root/testdata/sf0.001"))
+    plan = study_queries._mark_scorer(study.with_cells(rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("replace(text#") == 4 * len(study_queries._MARKS)
+    assert max(plan.rfind("replace("), plan.rfind("regexp_extract_all(")) > plan.rfind("Generate") > plan.find("Generate") > -1
+    assert not any(x in plan[:plan.rfind("Generate")] for x in ("replace(", "regexp_extract_all("))
+
+
+def test_top_label_keeps_ties_nulls_and_nan(spark):
+    rows = spark.createDataFrame([
+        (0, [("a", 1.0), ("b", 2.0), ("c", 2.0)]), (1, [("a", None), ("b", -1.0)]), (2, [("a", None)]), (3, []), (4, None),
+        (5, [("a", 9.0), ("b", float("nan")), ("c", float("nan"))]), (6, [("a", -0.0), ("b", 0.0)])], "id int, s array<struct<label string, score double>>")
+    got = {r.id: r.label for r in rows.select("id", top_label(F.col("s")).alias("label")).collect()}
+    assert got == {0: "b", 1: "b", 2: None, 3: None, 4: None, 5: "b", 6: "a"}
+
+
 def test_resume_transitions(spark):
     rows = spark.createDataFrame([(s,) for s in ("pending", "in_progress", "completed", "failed")], ["generation_status"])
     got = {r.generation_status: (r.resumed_status, r.to_process) for r in study.resume_status(rows).collect()}
