@@ -93,3 +93,16 @@ def test_queries_store_about_a_byte_an_entry(spark):
     entries = stored.sparse().agg(F.sum(F.size("indices"))).first()[0]
     size = sum(f.stat().st_size for name in stored.frame.inputFiles() for f in [Path(unquote(urlparse(name).path))])
     assert size < 3 * entries  # a vector's entry has twelve bytes
+
+
+def test_labels_that_are_done_are_left_out_of_the_passes(both, corpus, monkeypatch):
+    seen = []
+    sums = svm.loss_sums
+
+    def watched(rows, weights, slope, by_term=None):
+        seen.append(len(weights))
+        return sums(rows, weights, slope, by_term)
+
+    monkeypatch.setattr(svm, "loss_sums", watched)
+    model = models.fit(both[1].where("split = 'train'"), ["a", "b", "c", "never"], "Linear SVM", 64, corpus[1].size)
+    assert seen[0] == 4 and min(seen) < 4 and all(s.converged for s in model.status)
